@@ -5,20 +5,18 @@ Results are written with sorted keys and no spaces, numbers in their shortest fo
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DOCUMENT = "map<string,variant>"
+FIELDS = "map<string,variant>"
 
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _fields(document: Column) -> Column:
-    return F.from_json(document, DOCUMENT)
-
-
 def json_object(**fields: Column) -> Column:
     """A JSON object from columns; NULL values stay as null."""
     struct = F.struct(*[_col(value).alias(name) for name, value in fields.items()])
@@ -55,11 +53,23 @@ def canonical(document: Column | str) -> Column:
     return F.to_json(F.parse_json(_col(document)))
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _fields(document: Column) -> Column:
+    """The fields of an object, NULL for anything else."""
+    return F.try_variant_get(document, "$", FIELDS)
+
+
 def json_merge(left: Column | str, right: Column | str) -> Column:
     """Shallow merge of two objects, the right side wins; NULL when either is NULL."""
-    base, extra = _fields(_col(left)), _fields(_col(right))
-    kept = F.map_filter(base, lambda key, _: ~F.map_contains_key(extra, key))
-    return canonical(F.to_json(F.map_concat(kept, extra)))
+    def merged(extra: Column) -> Column:
+        kept = F.map_filter(_fields(F.parse_json(_col(left))),
+                            lambda key, _: ~F.map_contains_key(extra, key))
+        return F.to_json(F.to_variant_object(F.map_concat(kept, extra)))
+    return _bind(_fields(F.parse_json(_col(right))), merged)
 
 
 def json_set(document: Column | str, path: list[str], value: Column | str) -> Column:
@@ -69,17 +79,19 @@ def json_set(document: Column | str, path: list[str], value: Column | str) -> Co
     document as it is. A NULL document or value gives NULL.
     """
     document, value = _col(document), _col(value)
-    edited = canonical(_set(document, list(path), value))
-    return F.when(value.isNotNull() & document.isNotNull(), edited)
+    edited = _bind(F.parse_json(document), lambda parsed: _set(parsed, list(path),
+                                                               F.parse_json(value)))
+    return F.when(value.isNotNull(), F.to_json(edited))
 
 
 def _set(document: Column, path: list[str], value: Column) -> Column:
-    fields = _fields(document)
     step, rest = path[0], path[1:]
-    if rest:
-        inner = F.to_json(fields[step])
-        value = F.when(inner.startswith("{"), _set(inner, rest, value))
-    others = F.map_filter(fields, lambda key, _: key != step)
-    edited = F.to_json(F.map_concat(others, F.create_map(F.lit(step), F.parse_json(value))))
-    usable = document.startswith("{") if not rest else value.isNotNull()
-    return F.when(usable, edited).otherwise(document)
+
+    def edit(fields: Column) -> Column:
+        new = _set(fields[step], rest, value) if rest else value
+        others = F.map_filter(fields, lambda key, _: key != step)
+        edited = F.to_variant_object(F.map_concat(others, F.create_map(F.lit(step), new)))
+        editable = F.map_contains_key(fields, step) if rest else fields.isNotNull()
+        return F.when(editable, edited).otherwise(document)
+
+    return _bind(_fields(document), edit)

@@ -17,7 +17,10 @@ def split_list(value: Column | str, separator: str = ",") -> Column:
 def explode_list(df: DataFrame, value: Column | str, alias: str, separator: str = ",",
                  trim: bool = True) -> DataFrame:
     """One row per item; rows whose list is NULL or empty are lost."""
-    rows = df.withColumn(alias, F.explode(split_list(value, separator)))
+    text = F.col(value) if isinstance(value, str) else value
+    # A column of its own, so that a computed text is computed once.
+    rows = df.withColumn("__list", text).withColumn(alias, F.explode(
+        split_list("__list", separator))).drop("__list")
     return rows.withColumn(alias, F.trim(alias)) if trim else rows
 
 

@@ -63,10 +63,12 @@ LIGATURES = {"Œ": "OE", "œ": "oe", "Æ": "AE", "æ": "ae", "ß": "ss", "ẞ":
 
 def unaccent(value: Column | str) -> Column:
     """Latin text without accents, strokes and ligatures."""
-    text = _col(value)
+    text = plain = _col(value)
     for ligature, letters in LIGATURES.items():
-        text = F.replace(text, F.lit(ligature), F.lit(letters))
-    return F.translate(text, STROKES[0] + ACCENTED, STROKES[1] + UNACCENTED)
+        plain = F.replace(plain, F.lit(ligature), F.lit(letters))
+    plain = F.translate(plain, STROKES[0] + ACCENTED, STROKES[1] + UNACCENTED)
+    # ASCII text has one byte per character and nothing to replace.
+    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(plain)
 
 
 def replace_first(value: Column | str, pattern: str, replacement: str = "") -> Column:

@@ -30,12 +30,12 @@ def _all(conditions: Sequence[Column]) -> Column:
 
 
 def _keyed(left: DataFrame, right: DataFrame, on) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides with the key expressions as columns; the right keys distinct and not NULL."""
+    """Both sides with the key expressions as columns, the right keys distinct."""
     pairs = _pairs(on)
     keys = [f"__key{i}" for i in range(len(pairs))]
     left = left.select("*", *[_col(a).alias(key) for key, (a, _) in zip(keys, pairs)])
     right = right.select(*[_col(b).alias(key) for key, (_, b) in zip(keys, pairs)])
-    return left, right.dropna().distinct(), keys
+    return left, right.distinct(), keys
 
 
 def keep_absent(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -81,14 +81,13 @@ def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -
 
     A minimum over structs, so hot keys shrink before the shuffle. NULL is a key of its own.
     """
-    rest = [name for name in df.columns if name not in keys]
+    rest = [*order, *[name for name in df.columns if name not in order]]
+    rest = [name for name in rest if name not in keys]
     if not rest:
         return df.distinct()
-    lead = [F.col(name).alias(f"__order{i}") for i, name in enumerate(order)]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*lead, *rest)).alias("__best"))
-    names = {*keys}
-    return best.select(*[F.col(c) if c in names else F.col(f"__best.`{c}`").alias(c)
-                         for c in df.columns])
+    best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__best"))
+    return best.select(*[F.col(name) if name in keys else F.col(f"__best.`{name}`").alias(name)
+                         for name in df.columns])
 
 
 def update_from(target: DataFrame, source: DataFrame, on, values: dict[str, Column],
@@ -103,7 +102,6 @@ def update_from(target: DataFrame, source: DataFrame, on, values: dict[str, Colu
     pairs = _pairs(on)
     keys = [f"__key{i}" for i in range(len(pairs))]
     source = source.select("*", *[_col(b).alias(key) for key, (_, b) in zip(keys, pairs)])
-    source = source.dropna(subset=keys)
     if not unique:
         source = one_per_key(source, keys, order)
     source = source.withColumn("__matched", F.lit(True))
@@ -127,7 +125,7 @@ def lookup(df: DataFrame, dimension: DataFrame, on, value: str, out: str) -> Dat
     pairs = _pairs(on)
     keys = [f"__key{i}" for i in range(len(pairs))]
     side = dimension.select(*[_col(b).alias(key) for key, (_, b) in zip(keys, pairs)],
-                            F.col(value).alias("__value")).dropna(subset=keys)
+                            F.col(value).alias("__value"))
     side = side.groupBy(*keys).agg(F.min("__value").alias("__value"))
     keyed = df.select("*", *[_col(a).alias(key) for key, (a, _) in zip(keys, pairs)])
     return keyed.join(side, keys, "left").withColumn(out, F.col("__value")).drop("__value", *keys)

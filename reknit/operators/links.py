@@ -49,9 +49,14 @@ def missing_links(df: DataFrame, id: str, names: str, links: DataFrame, people:
     Names are compared by their keys; a name that several people bear links them all.
     """
     keyed = people.select(person_id, person_key(first, last).alias("__name"))
-    listed = df.select(id, F.explode(split_list(squash(names))).alias("__name"))
+    # Split before normalising, so that items without accents are left alone. Items are never
+    # NULL; saying so spares a filter that would normalise them once more.
+    items = explode_list(df.select(id, names), names, "__item", trim=False)
+    name = F.coalesce(squash("__item"), F.lit(""))
+    listed = items.select(id, name.alias("__name")).distinct()
     linked = links.join(keyed, person_id).select(id, "__name")
-    return listed.subtract(linked).join(keyed, "__name").select(id, person_id)
+    return (keep_absent(listed, linked, [id, "__name"]).join(keyed, "__name")
+            .select(id, person_id))
 
 
 def link_missing_observers(people: DataFrame, partner_people: DataFrame, zones: DataFrame,

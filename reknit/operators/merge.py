@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from reknit.operators.keys import number_rows
 from reknit.operators.rows import Snapshot
-from reknit.session import broadcast_if_small, materialize
+from reknit.session import broadcast_if_small, materialize, measure
 
 log = logging.getLogger(__name__)
 
@@ -33,14 +33,14 @@ class KeyMap:
     """
 
     rows: DataFrame
-    count: int
+    size: int
 
     def joinable(self) -> DataFrame:
-        return broadcast_if_small(self.rows, self.count)
+        return broadcast_if_small(self.rows, self.size)
 
     def old_ids(self) -> DataFrame:
         return broadcast_if_small(self.rows.filter(F.col("prio") != SURVIVOR).select("id"),
-                                  self.count)
+                                  self.size)
 
 
 def invalid_requests(requests: DataFrame) -> DataFrame:
@@ -95,7 +95,7 @@ def resolve_requests(requests: DataFrame) -> KeyMap:
     survivors = olds.select("survivor").distinct().select(
         F.col("survivor").alias("id"), "survivor", F.lit(SURVIVOR).cast("long").alias("prio"))
     rows = materialize(olds.select("id", "survivor", "prio").unionByName(survivors), "keymap")
-    return KeyMap(rows, rows.count())
+    return KeyMap(rows, measure(rows))
 
 
 def _rekey(df: DataFrame, key: str, keymap: KeyMap) -> DataFrame:
@@ -113,20 +113,24 @@ def merge_links(df: DataFrame, key: str, compare: Sequence[str], keymap: KeyMap)
     Rows collide when they end on the same survivor with equal ``compare`` columns, none of
     them NULL. Of colliding rows, those of the id that reached the survivor first stay.
 
-    Only rows of named ids are grouped, with map-side combining; the table itself meets just
-    the groups that really collide, by an anti join.
+    Only rows of named ids are grouped, with map-side combining. The groups that really
+    collide are written and measured, so that the table itself, which may be far larger,
+    need not be shuffled to meet them.
     """
     rekeyed = _rekey(df, key, keymap)
     group = [key, *compare]
-    contested = (rekeyed.filter(F.col("__prio").isNotNull()).dropna(subset=list(compare))
-                 .groupBy(*group).agg(F.min("__prio").alias("__kept"),
-                                      F.max("__prio").alias("__last"))
-                 .filter("__kept < __last").drop("__last"))
-    contested = contested.toDF(*[f"__g{i}" for i in range(len(group))], "__kept")
+    names = [f"__g{i}" for i in range(len(group))]
+    contested = materialize(
+        rekeyed.filter(F.col("__prio").isNotNull()).dropna(subset=list(compare))
+        .groupBy(*group).agg(F.min("__prio").alias("__kept"), F.max("__prio").alias("__last"))
+        .filter("__kept < __last").drop("__last").toDF(*names, "__kept"), "contested")
+    size = measure(contested)
+    if size == 0:
+        return rekeyed.drop("__prio")
     same = reduce(lambda a, b: a & b,
-                  [F.col(name) == F.col(f"__g{i}") for i, name in enumerate(group)])
-    return rekeyed.join(contested, same & (F.col("__prio") > F.col("__kept")),
-                        "left_anti").drop("__prio")
+                  [F.col(name) == F.col(other) for name, other in zip(group, names)])
+    return rekeyed.join(broadcast_if_small(contested, size),
+                        same & (F.col("__prio") > F.col("__kept")), "left_anti").drop("__prio")
 
 
 def merge_fk(df: DataFrame, key: str, keymap: KeyMap) -> DataFrame:

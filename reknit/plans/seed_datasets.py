@@ -48,8 +48,12 @@ FRAMEWORK = Reference("id_acquisition_framework", FRAMEWORKS,
 DATASET = Reference("id_dataset", DATASETS, [("dataset_uuid", "unique_dataset_id")], "id_dataset")
 ORGANISM = Reference("id_organism", ORGANISMS, [("organism_name", "nom_organisme")],
                      "id_organisme")
-MODULE = Reference("id_module", MODULES,
-                   [(F.lower("module_code"), F.lower("module_code"))], "id_module")
+
+
+def module() -> Reference:
+    """The module of a code, whatever its case."""
+    code = F.lower("module_code")
+    return Reference("id_module", MODULES, [(code, code)], "id_module")
 
 
 def relabel_modules(modules: DataFrame, texts: Mapping[str, Mapping[str, object]]) -> DataFrame:
@@ -77,7 +81,7 @@ def seed_datasets(snapshot: Snapshot, rows: Mapping[str, DataFrame]) -> Snapshot
         ("datasets", DATASETS, [FRAMEWORK, *nomenclature(DATASET_CODES)], "id_dataset"),
         ("dataset_actors", "gn_meta.cor_dataset_actor",
          [DATASET, ORGANISM, *nomenclature(ACTOR_CODES)], None),
-        ("dataset_modules", "gn_commons.cor_module_dataset", [MODULE, DATASET], None),
+        ("dataset_modules", "gn_commons.cor_module_dataset", [module(), DATASET], None),
     )
     return seed_metadata(snapshot, [
         Seed(table, rows[name], references, id)

@@ -6,10 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# Rows up to which a two- or three-column id table may be broadcast: under 100 MB as a hash
-# relation. Beyond it the same join runs as a shuffle join.
-BROADCAST_ROWS = 1_000_000
+# Measured bytes up to which a table is broadcast; beyond it the same join shuffles.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def build_session(app_name: str = "reknit", master: str | None = None, **conf) -> SparkSession:
@@ -62,6 +62,14 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the counted rows stay under the limit, else leave the join to Spark."""
-    return df.hint("broadcast") if rows <= limit else df
+def measure(df: DataFrame) -> int:
+    """The bytes of a table's values, computed on the executors."""
+    widths = [F.coalesce(F.octet_length(name), F.lit(0)) if kind in ("string", "binary")
+              else F.lit(8) for name, kind in df.dtypes]
+    total = df.agg(F.sum(sum(widths, F.lit(0)).cast("long")).alias("bytes")).first()
+    return total.bytes or 0
+
+
+def broadcast_if_small(df: DataFrame, size: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast when the measured size is under the limit, else leave the join to Spark."""
+    return df.hint("broadcast") if size <= limit else df
