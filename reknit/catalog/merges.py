@@ -14,24 +14,28 @@ from reknit.operators.merge import (
 LATER = 1_000_000_000_000
 
 
+def first_of_block(block: int) -> F.Column:
+    return F.expr(f"c_custkey div {block} * {block}")
+
+
 def block_requests(customers: DataFrame, block: int = 10, offset: int = 0) -> DataFrame:
     """Each customer goes to the first one of its block."""
-    first = F.col("c_custkey") - F.col("c_custkey") % block
     return (customers.select((F.col("c_custkey") + offset).alias("step"),
-                             F.col("c_custkey").alias("old_id"), first.alias("new_id"))
+                             F.col("c_custkey").alias("old_id"),
+                             first_of_block(block).alias("new_id"))
             .filter("old_id <> new_id"))
 
 
 def chained_requests(customers: DataFrame) -> DataFrame:
     """Customers go to the first of their ten, these later to the first of their hundred."""
-    firsts = customers.filter(F.col("c_custkey") % 10 == 0)
-    return block_requests(customers).union(block_requests(firsts, 100, LATER))
+    survivors = customers.select(first_of_block(10).alias("c_custkey")).distinct()
+    return block_requests(customers).union(block_requests(survivors, 100, LATER))
 
 
 MAP = """
 WITH map AS (
-  SELECT c_custkey AS id, c_custkey - c_custkey % 10 AS survivor,
-         CASE WHEN c_custkey % 10 = 0 THEN -1 ELSE c_custkey END AS prio
+  SELECT c_custkey AS id, c_custkey // 10 * 10 AS survivor,
+         CASE WHEN c_custkey = c_custkey // 10 * 10 THEN -1 ELSE c_custkey END AS prio
   FROM customer)
 """
 
@@ -70,12 +74,13 @@ def merge_links_nulls(spark, folder):
 
 @query("""
 WITH map AS (
-  SELECT c_custkey AS id, c_custkey - c_custkey % 100 AS survivor,
-         CASE WHEN c_custkey % 100 = 0 THEN []
-              WHEN c_custkey % 10 = 0 THEN [1000000000000 + c_custkey]
-              WHEN c_custkey % 100 < 10 THEN [c_custkey]
-              ELSE [1000000000000 + c_custkey - c_custkey % 10, c_custkey] END AS prio
-  FROM customer),
+  SELECT c_custkey AS id, hundred AS survivor,
+         CASE WHEN c_custkey = hundred THEN []
+              WHEN c_custkey = ten THEN [1000000000000 + c_custkey]
+              WHEN ten = hundred THEN [c_custkey]
+              ELSE [1000000000000 + ten, c_custkey] END AS prio
+  FROM (SELECT c_custkey, c_custkey // 10 * 10 AS ten, c_custkey // 100 * 100 AS hundred
+        FROM customer)),
 ranked AS (
   SELECT o_orderkey, coalesce(survivor, o_custkey) AS o_custkey, o_orderpriority,
          rank() OVER (PARTITION BY coalesce(survivor, o_custkey), o_orderpriority
@@ -99,7 +104,7 @@ def merge_foreign_key(spark, folder):
     return merge_fk(orders, "o_custkey", keymap)
 
 
-@query("SELECT * FROM customer WHERE c_custkey % 10 = 0")
+@query("SELECT * FROM customer WHERE c_custkey = c_custkey // 10 * 10")
 def drop_merged_entities(spark, folder):
     customers = table(spark, folder, "customer")
     return drop_entities(customers, "c_custkey", resolve_requests(block_requests(customers)))
@@ -113,7 +118,7 @@ linked AS (
                       ORDER BY coalesce(prio, -1)) AS r
   FROM orders LEFT JOIN map ON id = o_custkey)
 SELECT 'customer' AS name, count(*) AS n, count(DISTINCT c_custkey) AS ids
-FROM customer WHERE c_custkey % 10 = 0
+FROM customer WHERE c_custkey = c_custkey // 10 * 10
 UNION ALL SELECT 'orders', count(*), count(DISTINCT k) FROM o
 UNION ALL SELECT 'contacts', count(*), count(DISTINCT k) FROM linked WHERE r = 1
 """)
@@ -154,8 +159,8 @@ def merged_customer_lines(spark, folder):
 
 @query("""
 WITH merged AS (
-  SELECT c_custkey, c_custkey + 1 - (c_custkey + 1) % 10 AS parent
-  FROM customer WHERE c_custkey % 10 = 0)
+  SELECT c_custkey, (c_custkey + 1) // 10 * 10 AS parent
+  FROM customer WHERE c_custkey = c_custkey // 10 * 10)
 SELECT c_custkey, parent FROM merged WHERE c_custkey = parent
 """)
 def own_parents(spark, folder):
