@@ -29,12 +29,29 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda left, right: left & right, conditions)
 
 
+# A text no value can equal: neither text columns nor JSON of the databases read here may
+# hold the character NUL.
+NOTHING = "\0"
+
+
+def _computed_once(df: DataFrame) -> DataFrame:
+    """Computed text keys of the right side, with NULL as a text that nothing equals.
+
+    On a key that may be NULL, Spark puts a filter below the join that computes it again.
+    """
+    return df.select(*[
+        F.coalesce(name, F.lit(NOTHING)).alias(name) if kind == "string" else F.col(name)
+        for name, kind in df.dtypes])
+
+
 def _keyed(left: DataFrame, right: DataFrame, on) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides with the key expressions as columns, the right keys distinct."""
     pairs = _pairs(on)
     keys = [f"__key{i}" for i in range(len(pairs))]
     left = left.select("*", *[_col(a).alias(key) for key, (a, _) in zip(keys, pairs)])
     right = right.select(*[_col(b).alias(key) for key, (_, b) in zip(keys, pairs)])
+    if any(isinstance(b, Column) for _, b in pairs):
+        right = _computed_once(right)
     return left, right.distinct(), keys
 
 

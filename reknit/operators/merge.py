@@ -60,6 +60,22 @@ def invalid_requests(requests: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [itself, empty, again, gone, unordered])
 
 
+def _summary(requests: DataFrame):
+    """In one job: how many requests are wrong in some way, and how many start a chain."""
+    olds = requests.groupBy("old_id").agg(F.count("*").alias("n"), F.min("step").alias("first"))
+    steps = requests.groupBy("step").agg(F.count("*").alias("n"))
+    itself = F.col("old_id") == F.col("new_id")
+    onward = requests.join(olds.select(F.col("old_id").alias("new_id"), "first"), "new_id", "left")
+    return onward.agg(
+        F.count_if(F.greatest(F.col("old_id").isNull(), F.col("new_id").isNull(),
+                              F.col("step").isNull(), itself, F.col("first") < F.col("step")))
+        .alias("wrong"),
+        F.count_if(F.col("first").isNotNull()).alias("chained"),
+    ).select("chained", (F.col("wrong")
+                         + olds.agg(F.count_if(F.col("n") > 1)).scalar()
+                         + steps.agg(F.count_if(F.col("n") > 1)).scalar()).alias("wrong")).first()
+
+
 def resolve_requests(requests: DataFrame) -> KeyMap:
     """Check the requests and follow each old id to its final survivor.
 
@@ -69,24 +85,24 @@ def resolve_requests(requests: DataFrame) -> KeyMap:
     requests = materialize(requests.select(
         *[F.col(name).cast("long").alias(name) for name in ("step", "old_id", "new_id")]),
         "requests")
-    problems = invalid_requests(requests).take(5)
-    if problems:
+    summary = _summary(requests)
+    if summary.wrong:
+        examples = invalid_requests(requests).take(5)
         raise ValueError("merge requests cannot be applied: " + "; ".join(
-            f"{row.old_id} into {row.new_id}: {row.reason}" for row in problems))
+            f"{row.old_id} into {row.new_id}: {row.reason}" for row in examples))
     paths = requests.select(F.col("old_id").alias("id"), F.col("new_id").alias("survivor"),
                             F.array("step").alias("path"))
-    chained = False
-    while True:
+    chained = open_ends = summary.chained
+    while open_ends:
         onward = paths.select(F.col("id").alias("survivor"), F.col("survivor").alias("next"),
                               F.col("path").alias("later"))
-        if paths.join(onward, "survivor", "left_semi").isEmpty():
-            break
-        chained = True
         # The latest step comes first: it decides which of two merged rows was there before.
         paths = materialize(paths.join(onward, "survivor", "left").select(
             "id", F.coalesce("next", "survivor").alias("survivor"),
             F.when(F.col("later").isNull(), F.col("path"))
             .otherwise(F.concat("later", "path")).alias("path")), "paths")
+        open_ends = paths.join(paths.select(F.col("id").alias("survivor")), "survivor",
+                               "left_semi").count()
     if chained:
         # Paths are unique and order the ids of one survivor; their rank is a plain number.
         olds = number_rows(paths, ["path"], "prio", unique=True)
