@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reknit.catalog import query, table
@@ -11,7 +12,7 @@ from reknit.operators.joins import (
     translate_codes, translate_ids, update_from)
 
 
-def numbered_name(prefix: str, number) -> F.Column:
+def numbered_name(prefix: str, number: Column) -> Column:
     return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 9, "0"))
 
 

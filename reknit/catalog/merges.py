@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reknit.catalog import query, table
@@ -14,7 +14,7 @@ from reknit.operators.merge import (
 LATER = 1_000_000_000_000
 
 
-def first_of_block(block: int) -> F.Column:
+def first_of_block(block: int) -> Column:
     return F.expr(f"c_custkey div {block} * {block}")
 
 

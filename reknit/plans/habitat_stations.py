@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from reknit.operators.extract import SENSOR_GUARD, extract_facts, sensor_facts
 from reknit.operators.hierarchy import derive_parents, link_parents
 from reknit.operators.rows import Snapshot, append

@@ -14,11 +14,15 @@ from reknit.sources.tables import values
 
 def explode_requests(df: DataFrame, survivor: str = "id", duplicates: str = "id_duplicates",
                      order: tuple[str, ...] = ("line",)) -> DataFrame:
-    """One row per old id: the order columns, its position in the list, old_id, new_id."""
+    """One row per old id: the order columns, its position in the list, old_id, new_id.
+
+    A comma at the end of a list adds nothing; an empty item elsewhere is no number and raises.
+    """
+    listed = split_list(F.regexp_replace(duplicates, ",$", ""))
     return df.filter(F.trim(duplicates) != "").select(
         *order,
         F.col(survivor).cast("long").alias("new_id"),
-        F.posexplode(split_list(duplicates)).alias("position", "item"),
+        F.posexplode(listed).alias("position", "item"),
     ).select(*order, "position", F.trim("item").cast("long").alias("old_id"), "new_id")
 
 

@@ -113,7 +113,7 @@ def test_snapshot(frame, rows):
 def test_request_file(spark, tmp_path, rows):
     path = tmp_path / "requests.tsv"
     path.write_text('name\tid\tid_duplicates\tnote\n'
-                    'A\t1\t"12,125"\tx\nB\t2\t13\t\nC\t\t14\ty\nD\t3\t\tz\n', encoding="utf-8")
+                    'A\t1\t"12,125"\tx\nB\t2\t13,\t\nC\t\t14\ty\nD\t3\t\tz\n', encoding="utf-8")
     requests = read_merge_requests(spark, str(path))
     assert rows(requests, "step", "old_id", "new_id") == [(1, 12, 1), (2, 125, 1), (3, 13, 2)]
 
