@@ -41,7 +41,7 @@ FROM customer WHERE NOT EXISTS (SELECT 1 FROM target WHERE name = c_name)
 """)
 def insert_missing_rows(spark, folder):
     return insert_missing(_targets(spark, folder), _customers(spark, folder), "name", id="id",
-                          order=["name"])
+                          order=["name"], unique=True)
 
 
 @query(f"SELECT id, nullif(name, 'Customer#000000002') AS name, balance FROM ({TARGETS})")
@@ -95,8 +95,9 @@ def insert_children_rows(spark, folder):
     lines = table(spark, folder, "lineitem")
     dimension = lines.filter("l_returnflag <> 'N'").select("l_returnflag", "l_suppkey",
                                                            F.lit("FLAG").alias("kind"))
-    children = lines.select(F.col("l_orderkey").alias("parent"), F.col("l_linenumber").alias("line"),
-                            F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag"))
+    children = lines.select(
+        F.col("l_orderkey").alias("parent"), F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag"))
     target = children.select("parent", "line", "part",
                              F.lit(None).cast("long").alias("id_flag")).limit(0)
     return insert_children(
@@ -185,7 +186,8 @@ def seeded_chain(spark, folder):
     brand_of = Reference("id_brand", "items", [("code", "code")], "id_brand")
     return seed_metadata(snapshot, [
         Seed("brands", parts.select("p_brand").distinct(), id="id"),
-        Seed("items", parts.select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("code")),
+        Seed("items", parts.select(F.col("p_brand").alias("brand"),
+                                   F.col("p_partkey").alias("code")),
              [in_brands], id="id", order=["code"]),
         Seed("links", table(spark, folder, "lineitem").select(
             F.col("l_partkey").alias("code"), F.col("l_suppkey").alias("actor")).distinct(),

@@ -71,7 +71,8 @@ def link_missing_observers(people: DataFrame, partner_people: DataFrame, zones:
     name has several ids, the smallest is stored.
     """
     listed = explode_together(
-        zones.select(index.alias("__index"), F.col(ids).alias("__ids"), F.col(names).alias("__names")),
+        zones.select(index.alias("__index"), F.col(ids).alias("__ids"),
+                     F.col(names).alias("__names")),
         {"__id": split_list("__ids"), "__name": split_list("__names")})
     listed = keep_absent(listed.select(F.col("__id").cast("long").alias("__id"),
                                        F.trim("__name").alias("__name"), "__index"),

@@ -16,39 +16,43 @@ from reknit.session import materialize
 
 
 def _insert(target: DataFrame, new: DataFrame, id: str | None, order: Sequence[str] | None,
-            gap: int = 0) -> DataFrame:
+            gap: int = 0, unique: bool = False) -> DataFrame:
     new = new.select(*[name for name in target.columns if name in new.columns])
     if id is not None:
-        new = allocate_ids(new, target, id, order or [n for n in new.columns if n != id], gap)
+        order = order or [name for name in new.columns if name != id]
+        new = allocate_ids(new, target, id, order, gap, unique)
     return append(target, new)
 
 
 def insert_missing(target: DataFrame, source: DataFrame, on, null_aware: bool = False,
                    among: Column | None = None, id: str | None = None,
-                   order: Sequence[str] | None = None) -> DataFrame:
+                   order: Sequence[str] | None = None, unique: bool = False) -> DataFrame:
     """Add the source rows without a counterpart in the target.
 
     ``on`` pairs source and target expressions. ``among`` restricts the target rows that
     count as counterparts. With ``null_aware`` one NULL key in the target lets nothing in, as
-    NOT IN does. With ``id`` the new rows get fresh ids, in ``order``.
+    NOT IN does. With ``id`` the new rows get fresh ids, in ``order``; ``unique`` says that
+    the columns of ``order`` tell the rows apart.
     """
     known = target if among is None else target.filter(among)
     new = keep_not_in(source, known, on) if null_aware else keep_absent(source, known, on)
-    return _insert(target, new, id, order)
+    return _insert(target, new, id, order, unique=unique)
 
 
 def insert_children(target: DataFrame, children: DataFrame, source_parents: DataFrame,
                     target_parents: DataFrame, parent_id: str, natural_key: str,
                     lookups: Sequence[tuple[DataFrame, Sequence, str, str]] = (),
-                    id: str | None = None, order: Sequence[str] | None = None) -> DataFrame:
+                    id: str | None = None, order: Sequence[str] | None = None,
+                    unique: bool = False) -> DataFrame:
     """Add children under the target's parents, found through the parents' natural key.
 
-    Each lookup (dimension, on, value, out) turns codes of the child into an id.
+    Each lookup (dimension, on, value, out) turns codes of the child into an id. Ids are given
+    as by ``insert_missing``.
     """
     new = translate_ids(children, source_parents, target_parents, parent_id, natural_key)
     for dimension, on, value, out in lookups:
         new = lookup(new, dimension, on, value, out)
-    return _insert(target, new, id, order)
+    return _insert(target, new, id, order, unique=unique)
 
 
 def overwrite_matched(target: DataFrame, partner: DataFrame, on, values: Mapping[str, Column],

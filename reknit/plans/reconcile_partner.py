@@ -124,12 +124,13 @@ def reconcile_partner(spark: SparkSession, snapshot: Snapshot, partner: Partner)
         partner.roles.filter(F.col("groupe") == F.lit(False)).select(
             F.lit(False).alias("groupe"), *NEW_COLUMNS, organism.alias("id_organisme"),
             reference.alias("champs_addi")),
-        "uuid_role", null_aware=True, id="id_role", order=["uuid_role"])
+        "uuid_role", null_aware=True, id="id_role", order=["uuid_role"], unique=True)
     done[ROLES] = roles = materialize(roles, "roles")
 
     zones = insert_missing(
         done[ZONES], partner.zones.drop("id_zp", "ids_role", "nom_obs"),
-        [(zone_index(), zone_index())], among=common, id="id_zp", order=["uuid_zp"])
+        [(zone_index(), zone_index())], among=common, id="id_zp", order=["uuid_zp"],
+        unique=True)
     done[ZONES] = zones = materialize(zones, "zones")
 
     lookups = [
@@ -139,7 +140,7 @@ def reconcile_partner(spark: SparkSession, snapshot: Snapshot, partner: Partner)
          "id_nomenclature", f"id_nomenclature_{name}")
         for name, kind in AREA_CODES.items()]
     areas = insert_children(done[AREAS], partner.areas, partner.zones, zones, "id_zp", "uuid_zp",
-                            lookups, id="id_ap", order=["uuid_ap"])
+                            lookups, id="id_ap", order=["uuid_ap"], unique=True)
     done[AREAS] = areas = materialize(areas, "areas")
 
     shared = (partner.zones.select(zone_index().alias("__index"), "nom_obs")

@@ -20,7 +20,7 @@ PRIORITIES = "pr_conservation_strategy.t_priority_taxon"
 
 
 def add_priority_taxa(snapshot: Snapshot, marker: str, code: str = "PRIORITY_FLORA") -> Snapshot:
-    """Add the priority taxa to the names with a marker comment, and all marked names to the list."""
+    """Add the priority taxa to the names with a marker, and all marked names to the list."""
     taxa = one_per_key(keep_present(snapshot[TAXREF], snapshot[PRIORITIES], "cd_nom").select(
         "cd_nom", "cd_ref", F.col("nom_vern").alias("nom_francais")), ["cd_nom"])
     names = materialize(insert_ignore(

@@ -118,6 +118,21 @@ def test_request_file(spark, tmp_path, rows):
     assert rows(requests, "step", "old_id", "new_id") == [(1, 12, 1), (2, 125, 1), (3, 13, 2)]
 
 
+def test_steps_follow_a_file_read_in_many_splits(spark, tmp_path):
+    path = tmp_path / "requests.tsv"
+    ids = random.Random(1).sample(range(100_000), 4_000)
+    path.write_text("id\tid_duplicates\n" + "".join(
+        f"{200_000 + i}\t{a},{b}\n" for i, (a, b) in enumerate(zip(ids[::2], ids[1::2]))))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        requests = read_merge_requests(spark, str(path)).orderBy("step").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.old_id for r in requests] == ids
+    assert [r.step for r in requests] == list(range(1, 4_001))
+
+
 def test_request_file_with_bad_id(spark, tmp_path):
     path = tmp_path / "requests.tsv"
     path.write_text("id\tid_duplicates\n1\t12,x\n", encoding="utf-8")
