@@ -44,6 +44,11 @@ def json_typed(document: Column | str, *path: str) -> Column:
     return F.to_json(F.variant_get(F.parse_json(_col(document)), _path(path), "variant"))
 
 
+def json_holds_object(document: Column | str, *path: str) -> Column:
+    """Whether there is an object at a path."""
+    return F.try_variant_get(F.parse_json(_col(document)), _path(path), FIELDS).isNotNull()
+
+
 def _path(path: tuple[str, ...]) -> str:
     return "$" + "".join(f"['{step}']" for step in path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reknit.functions.documents import json_merge, json_set, json_typed
+from reknit.functions.documents import json_holds_object, json_set
 from reknit.operators.joins import update_from
 
 
@@ -15,10 +15,9 @@ def group_pairs(children: DataFrame, parent: str, key: str, value: str, out: str
     The array is one cell of the result, so it has to fit in memory: a parent's own
     children, not their rows elsewhere, set that size.
     """
-    pair = F.struct(F.col(key).cast("string").alias("key"), F.col(value).alias("value"))
-    ordered = F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), pair.alias("pair"))))
-    objects = F.transform(ordered, lambda item: F.create_map(item["pair"]["key"],
-                                                             item["pair"]["value"]))
+    pairs = F.collect_list(F.struct(F.col(key).alias("key"), F.col(value).alias("value")))
+    objects = F.transform(F.sort_array(pairs),
+                          lambda pair: F.create_map(pair["key"].cast("string"), pair["value"]))
     return children.groupBy(parent).agg(F.to_json(objects).alias(out))
 
 
@@ -32,12 +31,9 @@ def enrich_json(target: DataFrame, children: DataFrame, parent: str, key: str, v
     document NULL.
     """
     grouped = group_pairs(children, parent, key, value, "__items")
-    old = F.col(f"target.{document}")
-    new = F.concat(F.lit('{"%s":' % field), F.col("source.__items"), F.lit("}"))
+    old, items = F.col(f"target.{document}"), F.col("source.__items")
+    new = json_set(old, path, F.concat(F.lit('{"%s":' % field), items, F.lit("}")))
     if merge:
-        present = json_typed(old, *path)
-        if not strict_null:
-            present = F.when(present.startswith("{"), present).otherwise(F.lit("{}"))
-        new = json_merge(present, new)
-    return update_from(target, grouped, [(target_key, parent)],
-                       {document: json_set(old, path, new)}, unique=True)
+        new = F.when(json_holds_object(old, *path), json_set(old, [*path, field], items)
+                     ).when(F.lit(not strict_null), new)
+    return update_from(target, grouped, [(target_key, parent)], {document: new}, unique=True)
