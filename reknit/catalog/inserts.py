@@ -146,6 +146,21 @@ def insert_if_absent(spark, folder):
                          order=["p_name", "p_brand"])
 
 
+@query("""
+SELECT s_suppkey AS id, NULL AS p_name, NULL AS p_brand FROM supplier
+UNION ALL
+SELECT min(p_partkey), p_name, p_brand FROM part
+WHERE p_partkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY p_name, p_brand
+""")
+def insert_under_two_keys(spark, folder):
+    """Both the id and the name with its brand must be free."""
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("id"), "p_name", "p_brand")
+    target = table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.lit(None).cast("string").alias("p_name"),
+        F.lit(None).cast("string").alias("p_brand"))
+    return insert_ignore(target, parts, ["id"], ["p_name", "p_brand"], order=["id"])
+
+
 @query("""
 SELECT l_suppkey AS list, l_partkey AS member FROM lineitem
 UNION ALL

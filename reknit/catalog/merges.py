@@ -9,6 +9,9 @@ from reknit.catalog import query, table
 from reknit.operators.merge import (
     KeyRule, LinkRule, MergeSpec, apply_merges, diagnose_self_parent, drop_entities, merge_fk,
     merge_links, resolve_requests)
+from reknit.plans.merge_entities import merge_from_file
+from reknit.session import scratch_path
+from reknit.sources.publish import read_published
 
 # The steps of the second round of requests come after those of the first.
 LATER = 1_000_000_000_000
@@ -141,7 +144,8 @@ def merge_snapshot_counts(spark, folder):
 
 @query(MAP + """
 SELECT coalesce(survivor, o_custkey) AS c_custkey, count(*) AS lines,
-       count(DISTINCT o_orderkey) AS orders, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units
+       count(DISTINCT o_orderkey) AS orders,
+       CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units
 FROM orders LEFT JOIN map ON id = o_custkey JOIN lineitem ON l_orderkey = o_orderkey
 GROUP BY 1
 """)
@@ -157,6 +161,31 @@ def merged_customer_lines(spark, folder):
                  F.sum("units").alias("units")))
 
 
+@query(MAP + """
+, ranked AS (
+  SELECT o_orderkey, coalesce(survivor, o_custkey) AS o_custkey, o_orderstatus,
+         rank() OVER (PARTITION BY coalesce(survivor, o_custkey), o_orderstatus
+                      ORDER BY coalesce(prio, -1)) AS r
+  FROM orders LEFT JOIN map ON id = o_custkey)
+SELECT o_orderkey, o_custkey, o_orderstatus, c_name
+FROM ranked JOIN customer ON c_custkey = o_custkey WHERE r = 1
+""")
+def merge_from_request_file(spark, folder):
+    """A request file applied to a snapshot, published, and read back."""
+    path, root = scratch_path(spark, "requests"), scratch_path(spark, "merged")
+    customers = table(spark, folder, "customer")
+    (block_requests(customers).repartitionByRange("step").sortWithinPartitions("step")
+     .select(F.col("new_id").alias("id"), F.col("old_id").alias("id_duplicates"))
+     .write.csv(path, sep="\t", header=True))
+    spec = MergeSpec("customer", "c_custkey",
+                     links=[LinkRule("orders", "o_custkey", ("o_orderstatus",))])
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    merge_from_file(spark, {"customer": customers, "orders": orders}, spec, path, root)
+    merged = read_published(spark, root)
+    return (merged["orders"].join(merged["customer"], F.col("c_custkey") == F.col("o_custkey"))
+            .select("o_orderkey", "o_custkey", "o_orderstatus", "c_name"))
+
+
 @query("""
 WITH merged AS (
   SELECT c_custkey, (c_custkey + 1) // 10 * 10 AS parent

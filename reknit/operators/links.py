@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reknit.functions.documents import json_set, json_text
+from reknit.functions.documents import json_set
 from reknit.functions.lists import explode_list, explode_together, split_list
 from reknit.functions.text import person_key, squash
 from reknit.operators.joins import keep_absent, translate_codes, update_from
@@ -84,8 +84,3 @@ def link_missing_observers(people: DataFrame, partner_people: DataFrame, zones:
                              {"ignoreNullFields": "false"}))
     return update_from(people, unknown, [(person_key(first, last), "__name")], {document: new},
                        order=["__id"])
-
-
-def partner_reference(document: str, *path: str) -> Column:
-    """The partner's id inside a document, as text."""
-    return json_text(document, *path)

@@ -45,9 +45,26 @@ def scratch_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark).rstrip('/')}/reknit-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the scratch folder."""
-    return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below this application's part of the scratch folder."""
+    return f"{_own_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path in its terms."""
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(context._jsc.hadoopConfiguration()), location
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once no result needs them."""
+    files, location = hadoop_path(spark, _own_scratch(spark))
+    files.delete(location, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -8,12 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from reknit.operators.rows import Snapshot
-
-
-def _folder(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+from reknit.session import hadoop_path
 
 
 def publish(spark: SparkSession, snapshot: Snapshot, root: str) -> str:
@@ -26,14 +21,14 @@ def publish(spark: SparkSession, snapshot: Snapshot, root: str) -> str:
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     for name, table in snapshot.items():
         table.write.parquet(f"{root}/versions/{version}/{name}")
-    files, mark = _folder(spark, f"{root}/published/{version}")
+    files, mark = hadoop_path(spark, f"{root}/published/{version}")
     files.create(mark, False).close()
     return version
 
 
 def published_versions(spark: SparkSession, root: str) -> list[str]:
     """The published versions, oldest first."""
-    files, folder = _folder(spark, f"{root.rstrip('/')}/published")
+    files, folder = hadoop_path(spark, f"{root.rstrip('/')}/published")
     if not files.exists(folder):
         return []
     return sorted(status.getPath().getName() for status in files.listStatus(folder))
@@ -46,7 +41,7 @@ def read_published(spark: SparkSession, root: str, version: str | None = None) -
     version = version or (versions[-1] if versions else None)
     if version not in versions:
         raise FileNotFoundError(f"no published version {version or ''} below {root}")
-    files, folder = _folder(spark, f"{root}/versions/{version}")
+    files, folder = hadoop_path(spark, f"{root}/versions/{version}")
     return {name: spark.read.parquet(f"{root}/versions/{version}/{name}")
             for name in sorted(s.getPath().getName() for s in files.listStatus(folder))}
 

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from reknit.session import measure, scratch_dir
+from reknit.session import drop_scratch, hadoop_path, materialize, measure, scratch_dir
 from reknit.sources.publish import snapshot_from_catalog
 from reknit.sources.tables import read_remote, stage
 
@@ -69,3 +69,14 @@ def test_scratch_is_the_checkpoint_folder(spark):
 def test_measure(frame):
     assert measure(frame("a long, b string", (1, "xy"), (2, None))) == 18
     assert measure(frame("a long")) == 0
+
+
+def test_drop_scratch_deletes_own_tables_only(spark, frame, tmp_path):
+    other = tmp_path / "kept"
+    frame("x long", (1,)).write.parquet(str(other))
+    (file,) = materialize(frame("x long", (1,)).coalesce(1)).inputFiles()
+    files, path = hadoop_path(spark, file)
+    assert files.exists(path)
+    drop_scratch(spark)
+    assert not files.exists(path)
+    assert spark.read.parquet(str(other)).count() == 1
