@@ -1,8 +1,7 @@
 """Joins of the migration scripts: anti joins, lookups and updates from another table.
 
-The non-streamed side of every join here has one row per key, made so by an aggregation
-that combines map-side. A hot key can then only sit on the streamed side, where AQE may
-split it.
+The joined side has one row per key, made so by an aggregation that combines map-side. A hot
+key can then only sit on the other side, where AQE splits it.
 """
 
 from __future__ import annotations
@@ -44,6 +43,15 @@ def _computed_once(df: DataFrame) -> DataFrame:
         for name, kind in df.dtypes])
 
 
+def own_shuffle(side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys as computed columns, so that the join shuffles an aggregated side once more.
+
+    AQE splits a hot key only where both sides of the join come straight from a shuffle; else
+    the join would take the aggregation's partitioning as it is. The side is small by then.
+    """
+    return side.withColumns({key: F.greatest(key, key) for key in keys})
+
+
 def _keyed(left: DataFrame, right: DataFrame, on) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides with the key expressions as columns, the right keys distinct."""
     pairs = _pairs(on)
@@ -52,7 +60,7 @@ def _keyed(left: DataFrame, right: DataFrame, on) -> tuple[DataFrame, DataFrame,
     right = right.select(*[_col(b).alias(key) for key, (_, b) in zip(keys, pairs)])
     if any(isinstance(b, Column) for _, b in pairs):
         right = _computed_once(right)
-    return left, right.distinct(), keys
+    return left, own_shuffle(right.distinct(), keys), keys
 
 
 def keep_absent(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -121,7 +129,7 @@ def update_from(target: DataFrame, source: DataFrame, on, values: dict[str, Colu
     source = source.select("*", *[_col(b).alias(key) for key, (_, b) in zip(keys, pairs)])
     if not unique:
         source = one_per_key(source, keys, order)
-    source = source.withColumn("__matched", F.lit(True))
+    source = own_shuffle(source, keys).withColumn("__matched", F.lit(True))
     target_keys = [f"__target{i}" for i in range(len(pairs))]
     keyed = target.select("*", *[_col(a).alias(key) for key, (a, _) in zip(target_keys, pairs)])
     conditions = [F.col(f"target.{a}") == F.col(f"source.{b}") for a, b in zip(target_keys, keys)]
@@ -143,7 +151,7 @@ def lookup(df: DataFrame, dimension: DataFrame, on, value: str, out: str) -> Dat
     keys = [f"__key{i}" for i in range(len(pairs))]
     side = dimension.select(*[_col(b).alias(key) for key, (_, b) in zip(keys, pairs)],
                             F.col(value).alias("__value"))
-    side = side.groupBy(*keys).agg(F.min("__value").alias("__value"))
+    side = own_shuffle(side.groupBy(*keys).agg(F.min("__value").alias("__value")), keys)
     keyed = df.select("*", *[_col(a).alias(key) for key, (a, _) in zip(keys, pairs)])
     return keyed.join(side, keys, "left").withColumn(out, F.col("__value")).drop("__value", *keys)
 

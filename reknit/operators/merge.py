@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reknit.operators.joins import own_shuffle
 from reknit.operators.keys import number_rows
 from reknit.operators.rows import Snapshot
 from reknit.session import broadcast_if_small, materialize, measure
@@ -65,7 +66,8 @@ def _summary(requests: DataFrame):
     olds = requests.groupBy("old_id").agg(F.count("*").alias("n"), F.min("step").alias("first"))
     steps = requests.groupBy("step").agg(F.count("*").alias("n"))
     itself = F.col("old_id") == F.col("new_id")
-    onward = requests.join(olds.select(F.col("old_id").alias("new_id"), "first"), "new_id", "left")
+    survivors = own_shuffle(olds.select(F.col("old_id").alias("new_id"), "first"), ["new_id"])
+    onward = requests.join(survivors, "new_id", "left")
     return onward.agg(
         F.count_if(F.greatest(F.col("old_id").isNull(), F.col("new_id").isNull(),
                               F.col("step").isNull(), itself, F.col("first") < F.col("step")))

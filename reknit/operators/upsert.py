@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reknit.operators.joins import (
-    keep_absent, keep_not_in, lookup, one_per_key, translate_ids, update_from)
+    keep_absent, keep_not_in, lookup, one_per_key, own_shuffle, translate_ids, update_from)
 from reknit.operators.keys import allocate_ids
 from reknit.operators.rows import append
 from reknit.session import materialize
@@ -106,7 +106,7 @@ def _first_of_keys(new: DataFrame, keys: list[list[str]], order: list[str]) -> D
         for i, key in enumerate(keys):
             first = (pending.filter(_has(key)).groupBy(*key)
                      .agg(F.min("__rank").alias(f"__first{i}")))
-            rows = rows.join(first, key, "left")
+            rows = rows.join(own_shuffle(first, key), key, "left")
         wins = reduce(lambda a, b: a & b, [
             F.col(f"__first{i}").isNull() | (F.col(f"__first{i}") == F.col("__rank"))
             for i in range(len(keys))])
