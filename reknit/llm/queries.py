@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reknit.llm import neardup
+from reknit.llm import decontaminate, neardup, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,8 +28,48 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query()
+def op2_secret_scans(spark, folder):
+    docs = table(spark, folder, "documents")
+    return secrets.find(docs, secrets.fit(docs))
+
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+@query(rf"""
+    WITH docs AS (
+        SELECT doc_id, regexp_extract_all({LOWER}, {WORD}) AS w FROM documents),
+    items AS (SELECT item_id, regexp_extract_all({LOWER}, {WORD}) AS w FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item_id, least(len(w), 13) AS width, unnest(list_transform(
+            range(1, len(w) - least(len(w), 13) + 2),
+            lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS phrase
+        FROM items WHERE len(w) > 0),
+    widths AS (SELECT DISTINCT width FROM windows),
+    placed AS (
+        SELECT doc_id, width, unnest(range(1, len(w) - width + 2)) AS spot,
+               unnest(list_transform(range(1, len(w) - width + 2),
+                                     lambda i: array_to_string(w[i:i + width - 1], ' '))) AS phrase
+        FROM docs, widths WHERE len(w) >= width),
+    hits AS (SELECT doc_id, item_id, width, spot FROM placed JOIN windows USING (width, phrase)),
+    covered AS (
+        SELECT doc_id, count(DISTINCT place) AS n_hit
+        FROM (SELECT doc_id, unnest(range(spot, spot + width)) AS place FROM hits) GROUP BY doc_id),
+    found AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+           coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+""")
+def op4_benchmark_decontamination(spark, folder):
+    return decontaminate.contamination(table(spark, folder, "documents"),
+                                       table(spark, folder, "benchmark"))
+
 
 @query(rf"""
     WITH RECURSIVE worded AS (
