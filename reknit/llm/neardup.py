@@ -8,8 +8,8 @@ a pair's similarity is estimated by counting equal cells and taking off chance c
    fingerprint, combined map-side, so a third of all rows may be copies of one text).
 2. Classes that share buckets form families: components of the edges from each bucket's
    smallest member, which are as many as members, never pairs.
-3. A family's sets meet in one task; a family too large for that is split into its buckets, and
-   these into pairs of blocks, so no task ever holds more than two blocks.
+3. A family's sets meet in one task, those of a larger one in pairs of blocks, and those of a
+   family of very many blocks bucket by bucket, so no task ever holds more than two blocks.
 4. In the task, pairs of different components whose estimate passes are verified on full sets;
    links that join two components leave the task (at most one per member), not all pairs.
 5. The components of these links are the groups.
@@ -42,6 +42,8 @@ CHANCE = 1 / 2**BITS
 # A task takes at most so many members and shingles of a side; larger groups are dealt in blocks.
 BLOCK_MEMBERS = 2_000
 BLOCK_SHINGLES = 4_000_000
+# A family of up to so many blocks is dealt in pairs of them, a larger one bucket by bucket.
+GRID = 16
 
 
 def packed(lowest: np.ndarray) -> bytes:
@@ -193,23 +195,26 @@ def _family_links(members: DataFrame, threshold: float) -> DataFrame:
 
 def _units(members: DataFrame, banded: DataFrame) -> DataFrame:
     """Which tasks a member takes part in: (doc, unit, i, j, side)."""
-    sizes = members.groupBy("family").agg(F.count("*").alias("n"),
-                                          F.sum("n_shingles").alias("total"))
-    fits = (F.col("n") <= BLOCK_MEMBERS) & (F.col("total") <= BLOCK_SHINGLES)
-    whole = members.join(sizes.filter(fits), "family").select(
-        "doc", F.col("family").alias("unit"), *(F.lit(0).alias(c) for c in ("i", "j", "side")))
-    large = members.join(sizes.filter(~fits), "family").select("doc", "n_shingles")
-    inside = banded.join(large, "doc")
-    buckets = inside.groupBy("key").agg(F.count("*").alias("n"),
-                                        F.sum("n_shingles").alias("total")).filter("n > 1")
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS),
-                        F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    dealt = (inside.join(buckets.select("key", blocks.alias("blocks")), "key")
-             .withColumn("side", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    return whole.unionByName(dealt.select(
-        "doc", F.col("key").alias("unit"), F.least("side", "other").alias("i"),
-        F.greatest("side", "other").alias("j"), "side"))
+    def blocked(sizes: DataFrame) -> DataFrame:
+        return sizes.withColumn("blocks", F.greatest(
+            F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int"))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return (rows.withColumn("side", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .select("doc", "unit", F.least("side", "other").alias("i"),
+                        F.greatest("side", "other").alias("j"), "side"))
+
+    sizes = blocked(members.groupBy("family").agg(F.count("*").alias("n"),
+                                                  F.sum("n_shingles").alias("total")))
+    sized = members.join(sizes.select("family", "blocks"), "family")
+    whole = sized.filter(F.col("blocks") <= GRID).withColumn("unit", F.col("family"))
+    inside = banded.join(sized.filter(F.col("blocks") > GRID).select("doc", "n_shingles"), "doc")
+    buckets = blocked(inside.groupBy("key").agg(F.count("*").alias("n"),
+                                                F.sum("n_shingles").alias("total"))
+                      .filter("n > 1"))
+    split = inside.join(buckets.select("key", "blocks"), "key").withColumn("unit", F.col("key"))
+    return dealt(whole).unionByName(dealt(split))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5,
