@@ -45,9 +45,13 @@ class Vocabulary:
 
     def __post_init__(self):
         self.longest = max(map(len, self.ids), default=1)
-        # Every prefix of a piece, without an id where it is no piece itself.
-        self.known = {piece[:k]: (0.0, -1) for piece in self.ids for k in range(1, len(piece))}
-        self.known.update(self.ids)
+        # A tree of characters: each step gives the steps after it, a score, and an id or -1.
+        self.tree: dict[str, tuple] = {}
+        for piece, (score, id) in sorted(self.ids.items()):
+            steps = self.tree
+            for character in piece[:-1]:
+                steps = steps.setdefault(character, ({}, 0.0, -1))[0]
+            steps[piece[-1]] = ({}, score, id)
         self.worst = min((score for score, _ in self.ids.values()), default=0.0)
         texts = [piece.replace(SPACE, " ").encode() for piece in self.pieces]
         for value, id in enumerate(self.bytes):
@@ -80,29 +84,26 @@ def load_vocabulary(path: str) -> Vocabulary:
 
 def viterbi(text: str, vocabulary: Vocabulary, stride: int = STRIDE) -> Iterator[list[int]]:
     """Ids of a text, in parts that are yielded as soon as they are certain."""
-    known, longest, length = vocabulary.known, vocabulary.longest, len(text)
+    tree, longest, length = vocabulary.tree, vocabulary.longest, len(text)
     unknown = vocabulary.worst - UNKNOWN_PENALTY
     # The window: by end position from ``done`` on, the best score and the piece that ends there.
     done = 0
-    best: list[float] = [0.0] + [LOWEST] * (stride + 2 * longest)
+    best: list[float] = [0.0] + [LOWEST] * min(length, stride + 2 * longest)
     start_of, id_of = [0] * len(best), [0] * len(best)
     for start in range(length):
         place = start - done
         here = best[place]
-        single = False
-        for size in range(1, min(longest, length - start) + 1):
-            step = known.get(text[start:start + size])
-            if step is None:
+        step, end = tree.get(text[start]), place + 1
+        if (step is None or step[2] < 0) and here + unknown > best[end]:
+            best[end], start_of[end], id_of[end] = here + unknown, start, -1
+        while step is not None:
+            steps, score, id = step
+            if id >= 0 and here + score > best[end]:
+                best[end], start_of[end], id_of[end] = here + score, start, id
+            if not steps or end + done == length:
                 break
-            score, id = step
-            if id >= 0:
-                if size == 1:
-                    single = True
-                end = place + size
-                if here + score > best[end]:
-                    best[end], start_of[end], id_of[end] = here + score, start, id
-        if not single and here + unknown > best[place + 1]:
-            best[place + 1], start_of[place + 1], id_of[place + 1] = here + unknown, start, -1
+            step = steps.get(text[end + done])
+            end += 1
         if place < stride:
             continue
         # Do the paths of all ends that can still be continued pass one boundary?
@@ -147,7 +148,11 @@ def _path(text: str, start_of: list[int], id_of: list[int], begin: int, end: int
 
 
 class _Remembered(dict):
-    """Ids of a stretch between forced boundaries."""
+    """Ids of a stretch between forced boundaries.
+
+    As a broadcast value it lives as long as its worker, and what one task has coded serves
+    the next ones.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
@@ -185,9 +190,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
     """
     rows = docs.select(F.struct(*(F.col(f"`{n}`") for n in docs.columns)).alias("row"),
                        F.col(text).cast("string").alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(_Remembered(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Remembered(vocabulary)
+        known = shared.value
         for batch in batches:
             found, offsets, total = [], [], 0
             for cell in batch.column(1):
@@ -218,8 +224,9 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids",
     cells = rows.select(F.struct(*(F.col(f"`{n}`") for n in rows.columns)).alias("row"),
                         F.col(ids).alias("ids"))
 
+    texts = vocabulary.texts
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = vocabulary.texts
         for batch in batches:
             found = [None if value is None else decode_ids(value.tolist(), texts)
                      for value in map(_numbers, batch.column(1))]

@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reknit.llm import decontaminate, neardup, secrets
+from reknit.llm import decontaminate, neardup, pieces, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The vocabulary of the SentencePiece queries.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -34,6 +38,12 @@ def op2_secret_scans(spark, folder):
     return secrets.find(docs, secrets.fit(docs))
 
 
+@query()
+def op3_quality_classifier(spark, folder):
+    docs = table(spark, folder, "documents")
+    return quality.classify(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -71,6 +81,15 @@ def op4_benchmark_decontamination(spark, folder):
                                        table(spark, folder, "benchmark"))
 
 
+@query()
+def op7_sentencepiece(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    vocabulary = pieces.load_vocabulary(PIECES)
+    coded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
+                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 @query(rf"""
     WITH RECURSIVE worded AS (
         SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
