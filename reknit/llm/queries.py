@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reknit.llm import decontaminate, neardup, pieces, quality, secrets
+from reknit.llm import decontaminate, neardup, pieces, quality, secrets, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +81,23 @@ def op4_benchmark_decontamination(spark, folder):
                                        table(spark, folder, "benchmark"))
 
 
+@query("""
+    WITH paid AS (SELECT page_id, coalesce(html, '') AS p FROM pages),
+    payloads AS (SELECT page_id, strlen(p) AS payload_bytes, sha1(p) AS payload_digest FROM paid),
+    shared AS (
+        SELECT payload_digest, max(page_id) AS response FROM payloads
+        WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+           CASE WHEN page_id < response THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id < response THEN response END AS refers_to
+    FROM payloads LEFT JOIN shared USING (payload_digest)
+""")
+def op5_warc_archives(spark, folder):
+    packages = warc.write_archives(table(spark, folder, "pages"))
+    return warc.read_archives(packages, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query()
 def op7_sentencepiece(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
