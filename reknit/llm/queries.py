@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reknit.llm import decontaminate, neardup, pieces, quality, secrets, warc
+from reknit.llm import decontaminate, neardup, pieces, quality, secrets, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +107,28 @@ def op7_sentencepiece(spark, folder):
                         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+@query("""
+    WITH terms AS (
+        SELECT vec_id, list_transform(
+            embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(
+            embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+               list_sum(list_transform(range(1, len(q.w) + 1),
+                                       lambda i: q.w[i] * d.w[i]))::BIGINT AS score
+        FROM terms q JOIN terms d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id),
+    ranked AS (
+        SELECT query_id, row_number() OVER (
+            PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM scored)
+    SELECT * FROM ranked WHERE rank <= 5
+""")
+def op8_exact_top_k(spark, folder):
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query(rf"""
     WITH RECURSIVE worded AS (
         SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
