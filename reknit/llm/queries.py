@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reknit.llm import decontaminate, neardup, pieces, quality, secrets, topk, warc
+from reknit.llm import (
+    decontaminate, lengths, neardup, pieces, quality, secrets, topk, urls, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The vocabulary of the SentencePiece queries.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+# The rules of the URL query.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"),
+             ("org/fr/", "allow")]
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -98,6 +105,20 @@ def op5_warc_archives(spark, folder):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query()
+def op6_url_filters(spark, folder):
+    pages = table(spark, folder, "pages")
+    # A page is labelled by the document whose number ends its path.
+    url = F.col("url")
+    shown = pages.select(
+        urls.host_of(url).alias("host"), urls.path_of(url).alias("path"),
+        F.regexp_extract(urls.path_of(url), r"/([0-9]{1,18})(?:\.html|/)?$", 1)
+        .try_cast("long").alias("doc_id"))
+    known = table(spark, folder, "labels").filter("quality IN (0, 1)").select(
+        "doc_id", (1 - F.col("quality")).alias("bad"))
+    return urls.filter_urls(pages, shown.join(known, "doc_id").drop("doc_id"), URL_RULES)
+
+
 @query()
 def op7_sentencepiece(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -129,6 +150,11 @@ def op8_exact_top_k(spark, folder):
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query()
+def op9_token_counts(spark, folder):
+    return lengths.histogram(table(spark, folder, "documents"), lengths.load_coder(RANKS))
+
+
 @query(rf"""
     WITH RECURSIVE worded AS (
         SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
