@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reknit.llm import (
-    decontaminate, lengths, neardup, pieces, quality, secrets, topk, urls, warc)
+    decontaminate, lengths, licenses, neardup, pieces, quality, secrets, topk, urls, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query()
+def op1_license_scans(spark, folder):
+    # The documents of a source lie in its folder, by language.
+    docs = table(spark, folder, "documents").withColumn("path", F.concat_ws(
+        "/", "source", "lang", F.col("doc_id").cast("string")))
+    return licenses.scan_licences(docs)
+
+
 @query()
 def op2_secret_scans(spark, folder):
     docs = table(spark, folder, "documents")
