@@ -19,6 +19,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -203,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "qu
 
     kind = docs.select(id).dtypes[0][1]
     found = rows.mapInArrow(run, f"id {kind}, label int, texts binary, metas binary").toArrow()
-    ordered = found.take(pa.compute.sort_indices(found, [("id", "ascending")]))
+    ordered = found.take(pc.sort_indices(found, [("id", "ascending")]))
     given = ordered["label"].to_pylist()
     texts, metas = (np.frombuffer(b"".join(ordered[name].to_pylist()), np.float32)
                     .reshape(-1, width).astype(float)
