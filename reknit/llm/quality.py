@@ -31,7 +31,8 @@ ROUNDS = 3
 SURE = 0.98
 # Share of held-out good documents that may fall below the threshold, which is at most EVEN.
 LOST, EVEN = 0.002, 0.35
-RIDGE = 1.0
+# Ridge of the views, which have many features, and of the calibration, which has few.
+RIDGE, CALIBRATION_RIDGE = 10.0, 1.0
 # Fewer labelled documents of a class than this give no classifier.
 LEAST = 10
 
@@ -147,9 +148,10 @@ def co_train(texts: np.ndarray, metas: np.ndarray, labels: np.ndarray, pool_text
                 np.vstack([own[view][0], pools[view][told]]),
                 np.concatenate([own[view][1], taught[view][told]]))
     raw = [views[0].odds(texts[held]), views[1].odds(metas[held])]
-    calibrated = tuple(fit_logistic(odds[:, None], labels[held]) for odds in raw)
+    calibrated = tuple(fit_logistic(odds[:, None], labels[held], CALIBRATION_RIDGE)
+                       for odds in raw)
     both = np.stack([c.odds(odds[:, None]) for c, odds in zip(calibrated, raw)], axis=1)
-    combined = fit_logistic(both, labels[held])
+    combined = fit_logistic(both, labels[held], CALIBRATION_RIDGE)
     good = np.sort(sigmoid(combined.odds(both))[labels[held] == 1])
     return Classifier(views[0], views[1], calibrated, combined,
                       min(EVEN, float(good[int(LOST * len(good))])))
