@@ -14,7 +14,7 @@ once per worker and remembered, which gives the same ids.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
 from operator import itemgetter
@@ -31,7 +31,9 @@ UNKNOWN_PENALTY = 10.0
 STRIDE = 64
 LOWEST = float("-inf")
 # Stretches up to this length are remembered, and so many of them.
-REMEMBERED_LENGTH, REMEMBERED = 48, 400_000
+REMEMBERED_LENGTH, REMEMBERED = 48, 150_000
+# Texts that leave a task together.
+TOGETHER = 500
 
 
 @dataclass
@@ -182,37 +184,45 @@ def decode_ids(ids: list[int], texts: list[bytes]) -> str:
     return found.decode("utf-8", "replace").removeprefix(" ")
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
-           out: str = "ids") -> DataFrame:
-    """``docs`` with an array of ids in ``out``, in place of a column of that name.
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str = "ids",
+           keep: Sequence[str] | None = None, check: str | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all of them, if not given) and an array of ids ``out``.
 
-    A NULL text gives NULL, an empty one an empty array.
+    With ``check`` a boolean column of that name tells whether the ids decode to the text again.
+    A NULL text gives NULL ids and an empty one an empty array, which both count as the same
+    again. ``out`` and ``check`` replace columns of those names.
     """
-    rows = docs.select(F.struct(*(F.col(f"`{n}`") for n in docs.columns)).alias("row"),
+    keep = [name for name in (docs.columns if keep is None else keep)
+            if name not in (out, check)]
+    rows = docs.select(F.struct(*(F.col(f"`{n}`") for n in keep)).alias("row"),
                        F.col(text).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(_Remembered(vocabulary))
 
+    def coded(batch: pa.RecordBatch, known: _Remembered) -> pa.RecordBatch:
+        found, offsets, total, same = [], [], 0, []
+        for cell in batch.column(1):
+            value = cell.as_py()
+            ids = encode_text(value, known) if value else []
+            offsets.append(None if value is None else total)
+            found.append(np.array(ids, np.int32))
+            total += len(ids)
+            same.append(check is None or decode_ids(ids, known.vocabulary.texts) == (value or ""))
+        offsets.append(total)
+        values = np.concatenate(found) if found else np.empty(0, np.int32)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
+                                                       pa.array(values)), pa.array(same, pa.bool_())],
+            names=["row", "ids", "same"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in batches:
-            found, offsets, total = [], [], 0
-            for cell in batch.column(1):
-                value = cell.as_py()
-                offsets.append(None if value is None else total)
-                if value:
-                    found.append(np.array(encode_text(value, known), np.int32))
-                    total += len(found[-1])
-            offsets.append(total)
-            values = np.concatenate(found) if found else np.empty(0, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                                           pa.array(values))],
-                names=["row", "ids"])
+            for start in range(0, len(batch), TOGETHER):
+                yield coded(batch.slice(start, TOGETHER), shared.value)
 
     row = rows.schema["row"].dataType.simpleString()
-    return (rows.mapInArrow(run, f"row {row}, ids array<int>")
-            .select("row.*", F.col("ids").alias("__ids"))
-            .drop(out).withColumnRenamed("__ids", out))
+    checked = [] if check is None else [F.col("same").alias(check)]
+    return rows.mapInArrow(run, f"row {row}, ids array<int>, same boolean").select(
+        *(F.col(f"row.`{name}`") for name in keep), F.col("ids").alias(out), *checked)
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids",
@@ -234,9 +244,9 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids",
                                              names=["row", "decoded"])
 
     row = cells.schema["row"].dataType.simpleString()
-    return (cells.mapInArrow(run, f"row {row}, decoded string")
-            .select("row.*", F.col("decoded").alias("__decoded"))
-            .drop(out).withColumnRenamed("__decoded", out))
+    return cells.mapInArrow(run, f"row {row}, decoded string").select(
+        *(F.col(f"row.`{name}`") for name in rows.columns if name != out),
+        F.col("decoded").alias(out))
 
 
 def _numbers(cell: pa.ListScalar) -> np.ndarray | None:

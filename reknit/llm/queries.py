@@ -129,11 +129,10 @@ def op6_url_filters(spark, folder):
 
 @query()
 def op7_sentencepiece(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    vocabulary = pieces.load_vocabulary(PIECES)
-    coded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
-    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
-                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    coded = pieces.encode(table(spark, folder, "documents"), pieces.load_vocabulary(PIECES),
+                          keep=["doc_id"], check="round_trip")
+    return coded.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long")
+                        .alias("n_ids"), "round_trip")
 
 
 @query("""
