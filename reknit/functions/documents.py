@@ -6,12 +6,18 @@ Results are written with sorted keys and no spaces, numbers in their shortest fo
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 FIELDS = "map<string,variant>"
 
+# Timestamps keep their microseconds; ``iso_timestamp`` writes them in their shortest form.
+_WHOLE_TIMES = {name: "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+                for name in ("timestampFormat", "timestampNTZFormat")}
+_KEEP_NULLS = {"ignoreNullFields": "false", **_WHOLE_TIMES}
+
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -20,39 +26,85 @@ def _col(value: Column | str) -> Column:
 def json_object(**fields: Column) -> Column:
     """A JSON object from columns; NULL values stay as null."""
     struct = F.struct(*[_col(value).alias(name) for name, value in fields.items()])
-    return F.to_json(struct, {"ignoreNullFields": "false"})
+    return F.to_json(struct, _KEEP_NULLS)
 
 
 def json_nested(name: str, **fields: Column) -> Column:
     """{name: {field: value, …}}, NULL values kept."""
     inner = F.struct(*[_col(value).alias(key) for key, value in fields.items()])
-    return F.to_json(F.struct(inner.alias(name)), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(inner.alias(name)), _KEEP_NULLS)
+
+
+def iso_timestamp(value: Column | str) -> Column:
+    """A timestamp as ISO 8601 text with as many decimals as it has, and without a zone.
+
+    The databases read here hold timestamps without zone, which Spark reads into either of
+    its two types.
+    """
+    return F.replace(_col(value).cast("string"), F.lit(" "), F.lit("T"))
 
 
 def json_pair(key: Column | str, value: Column | str) -> Column:
     """{key: value} with the key taken from a column; a NULL key raises."""
-    return F.to_json(F.create_map(_col(key).cast("string"), _col(value)))
+    return F.to_json(F.create_map(_col(key).cast("string"), _col(value)), _WHOLE_TIMES)
 
 
 def json_text(document: Column | str, *path: str) -> Column:
     """The text at a path: strings without quotes, NULL where absent or null."""
-    return F.get_json_object(_col(document), _path(path))
+    if not _quoted(path):
+        return F.get_json_object(_col(document), _path(path))
+    value = _at(document, path)
+    return (F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+            .when(F.schema_of_variant(value) != "VOID", F.to_json(value)))
 
 
 def json_typed(document: Column | str, *path: str) -> Column:
-    """The value at a path as canonical JSON: 5 differs from "5", null from absent (NULL)."""
-    return F.to_json(F.variant_get(F.parse_json(_col(document)), _path(path), "variant"))
+    """The value at a path as canonical JSON: 5 differs from "5", null from absent (NULL).
+
+    Numbers that are equal are written alike, as 100 for 1e2 and 100.0.
+    """
+    return _bind(F.to_json(_at(document, path)), _number)
+
+
+def _number(text: Column) -> Column:
+    """The text of a JSON value, that of a number with a point or an exponent in plain form.
+
+    Such a number is written as a decimal where it fits one, else as a double; integers are
+    exact as they are.
+    """
+    double = text.try_cast("double")
+
+    def plain(kind: str) -> Column:
+        value = text.try_cast(kind)
+        written = F.regexp_replace(value.cast("string"), r"\.?0*$", "") if kind[-3:] == "18)" \
+            else value.cast("string")
+        return F.when(value.cast("double") == double, F.regexp_replace(written, "^-0$", "0"))
+
+    fitted = F.coalesce(plain("decimal(38,18)"), plain("decimal(38,0)"), double.cast("string"))
+    return F.when(text.rlike("^-?[0-9].*[.eE]"), fitted).otherwise(text)
 
 
 def json_holds_object(document: Column | str, *path: str) -> Column:
     """Whether there is an object at a path."""
-    return F.try_variant_get(F.parse_json(_col(document)), _path(path), FIELDS).isNotNull()
+    return F.try_variant_get(_at(document, path), "$", FIELDS).isNotNull()
+
+
+def _quoted(path: tuple[str, ...]) -> bool:
+    return any("'" in step for step in path)
 
 
 def _path(path: tuple[str, ...]) -> str:
     return "$" + "".join(f"['{step}']" for step in path)
 
 
+def _at(document: Column | str, path: tuple[str, ...]) -> Column:
+    """The variant at a path. The path syntax has no way to write a quote, fields have."""
+    value = F.parse_json(_col(document))
+    if not _quoted(path):
+        return F.variant_get(value, _path(path), "variant")
+    return reduce(lambda inner, step: F.try_element_at(_fields(inner), F.lit(step)), path, value)
+
+
 def canonical(document: Column | str) -> Column:
     """The same document with sorted keys and no spaces."""
     return F.to_json(F.parse_json(_col(document)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ def enrich_json(target: DataFrame, children: DataFrame, parent: str, key: str, v
     """
     grouped = group_pairs(children, parent, key, value, "__items")
     old, items = F.col(f"target.{document}"), F.col("source.__items")
-    new = json_set(old, path, F.concat(F.lit('{"%s":' % field), items, F.lit("}")))
+    new = json_set(old, path, F.concat(F.lit("{%s:" % json.dumps(field, ensure_ascii=False)), items, F.lit("}")))
     if merge:
         new = F.when(json_holds_object(old, *path), json_set(old, [*path, field], items)
                      ).when(F.lit(not strict_null), new)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reknit.operators.joins import keep_absent, update_from
+from reknit.operators.joins import keep_absent_null_safe, update_from
 from reknit.operators.keys import allocate_ids
 from reknit.operators.rows import append
 
@@ -21,12 +21,14 @@ def derive_parents(df: DataFrame, id: str, code: str, by: Sequence[str], moved:
                    parent: str) -> DataFrame:
     """Add a parent row per distinct (by…, code prefix, moved attribute) of the dotted codes.
 
-    Ids follow (by…, prefix). Parents that exist already are not added again.
+    Ids follow (by…, prefix). Rows that have a parent ask for none, and parents that exist
+    already, with the same moved attribute, are not added again; NULLs count as equal there.
     """
-    existing = df.filter(F.col(parent).isNull() & ~F.col(code).contains("."))
-    dotted = df.filter(F.col(code).like("%.%"))
+    alone = df.filter(F.col(parent).isNull())
+    dotted = alone.filter(F.col(code).like("%.%"))
     parents = dotted.select(*by, code_prefix(code).alias(code), moved).distinct()
-    parents = keep_absent(parents, existing, [*by, code])
+    parents = keep_absent_null_safe(parents, alone.filter(~F.col(code).contains(".")),
+                                    [*by, code, moved])
     return append(df, allocate_ids(parents, df, id, [*by, code, moved], unique=True))
 
 

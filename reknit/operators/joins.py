@@ -28,19 +28,16 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda left, right: left & right, conditions)
 
 
-# A text no value can equal: neither text columns nor JSON of the databases read here may
-# hold the character NUL.
-NOTHING = "\0"
+def _marked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys as (missing, text), which are never NULL and equal only where both texts are there.
 
-
-def _computed_once(df: DataFrame) -> DataFrame:
-    """Computed text keys of the right side, with NULL as a text that nothing equals.
-
-    On a key that may be NULL, Spark puts a filter below the join that computes it again.
+    On a computed key that may be NULL, Spark puts a filter below the join that computes it
+    once more. A missing text of the left side stays NULL, one of the right becomes empty, so
+    that the two differ.
     """
-    return df.select(*[
-        F.coalesce(name, F.lit(NOTHING)).alias(name) if kind == "string" else F.col(name)
-        for name, kind in df.dtypes])
+    return df.withColumns({key: F.struct(F.col(key).isNull().alias("missing"),
+                                         F.coalesce(key, F.lit("")).alias("text"))
+                           for key in keys})
 
 
 def own_shuffle(side: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -52,29 +49,43 @@ def own_shuffle(side: DataFrame, keys: Sequence[str]) -> DataFrame:
     return side.withColumns({key: F.greatest(key, key) for key in keys})
 
 
-def _keyed(left: DataFrame, right: DataFrame, on) -> tuple[DataFrame, DataFrame, list[str]]:
+def _keyed(left: DataFrame, right: DataFrame, on, unique: bool
+           ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides with the key expressions as columns, the right keys distinct."""
     pairs = _pairs(on)
     keys = [f"__key{i}" for i in range(len(pairs))]
     left = left.select("*", *[_col(a).alias(key) for key, (a, _) in zip(keys, pairs)])
     right = right.select(*[_col(b).alias(key) for key, (_, b) in zip(keys, pairs)])
     if any(isinstance(b, Column) for _, b in pairs):
-        right = _computed_once(right)
-    return left, own_shuffle(right.distinct(), keys), keys
+        kinds = [dict(side.dtypes) for side in (left, right)]
+        texts = [key for key in keys if all(kind[key] == "string" for kind in kinds)]
+        right = _marked(right, texts)
+        left = left.withColumns({key: F.struct(F.lit(False).alias("missing"),
+                                               F.col(key).alias("text")) for key in texts})
+    return left, right if unique else own_shuffle(right.distinct(), keys), keys
 
 
-def keep_absent(left: DataFrame, right: DataFrame, on) -> DataFrame:
+def keep_absent(left: DataFrame, right: DataFrame, on, unique: bool = False) -> DataFrame:
     """Rows of ``left`` without a match (NOT EXISTS, LEFT JOIN … IS NULL). NULL never matches.
 
-    ``on`` holds column names, or pairs of left and right expressions.
+    ``on`` holds column names, or pairs of left and right expressions. ``unique`` says that
+    the right side repeats no key, and spares the shuffle that would make its keys distinct.
     """
-    left, right, keys = _keyed(left, right, on)
+    left, right, keys = _keyed(left, right, on, unique)
     return left.join(right, keys, "left_anti").drop(*keys)
 
 
-def keep_present(left: DataFrame, right: DataFrame, on) -> DataFrame:
+def keep_absent_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``left`` without a match in columns of the same names; NULL matches NULL."""
+    names = {name: f"__right{i}" for i, name in enumerate(on)}
+    right = right.select(*[F.col(name).alias(other) for name, other in names.items()]).distinct()
+    same = _all([F.col(name).eqNullSafe(F.col(other)) for name, other in names.items()])
+    return left.join(own_shuffle(right, list(names.values())), same, "left_anti")
+
+
+def keep_present(left: DataFrame, right: DataFrame, on, unique: bool = False) -> DataFrame:
     """Rows of ``left`` with a match, once each."""
-    left, right, keys = _keyed(left, right, on)
+    left, right, keys = _keyed(left, right, on, unique)
     return left.join(right, keys, "left_semi").drop(*keys)
 
 

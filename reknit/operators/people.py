@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reknit.functions.documents import json_nested
+from reknit.functions.documents import iso_timestamp, json_nested
 from reknit.functions.text import blank_to_null, clean_phone, upper_or_null
 from reknit.operators.joins import keep_absent, keep_absent_any, keep_present, update_from
 from reknit.operators.rows import append
@@ -72,7 +72,13 @@ def migrate_roles(roles: DataFrame, links: DataFrame, target: DataFrame, groups:
 
 def attach_provenance(target: DataFrame, source: DataFrame, on: str, document: str, name: str,
                       fields: dict[str, Column]) -> DataFrame:
-    """Store where matched rows came from as {name: {field: value, …}}, NULLs kept."""
+    """Store where matched rows came from as {name: {field: value, …}}, NULLs kept.
+
+    Timestamps of either type are written without zone, to the microsecond.
+    """
+    kinds = dict(source.select(*[value.alias(key) for key, value in fields.items()]).dtypes)
+    fields = {key: iso_timestamp(value) if kinds[key].startswith("timestamp") else value
+              for key, value in fields.items()}
     built = source.select(on, json_nested(name, **fields).alias("__provenance"))
     return update_from(target, built, on, {document: F.col("source.__provenance")})
 

@@ -54,14 +54,18 @@ def diff_report(left: DataFrame, right: DataFrame, on: Sequence[str | tuple], co
                 columns: Mapping[str, Column]) -> DataFrame:
     """Rows present on both sides whose compared value differs; NULL differs from a value.
 
-    ``columns`` picks the output, from ``left.x`` and ``right.x``. The key should be unique
-    on each side.
+    ``columns`` picks the output, from ``left.x`` and ``right.x``. A key that repeats on either
+    side is an error, as it would pair every such row with every other.
     """
     pairs = [(key, key) if isinstance(key, str) else key for key in on]
     left = left.select("*", *[(F.col(a) if isinstance(a, str) else a).alias(f"__l{i}")
                               for i, (a, _) in enumerate(pairs)])
     right = right.select("*", *[(F.col(b) if isinstance(b, str) else b).alias(f"__r{i}")
                                 for i, (_, b) in enumerate(pairs)])
+    for side, prefix in ((left, "__l"), (right, "__r")):
+        repeated = check_unique(side, [f"{prefix}{i}" for i in range(len(pairs))]).take(3)
+        if repeated:
+            raise ValueError(f"keys repeat: {', '.join(str(tuple(row)) for row in repeated)}")
     condition = ~F.col(f"left.{compare}").eqNullSafe(F.col(f"right.{compare}"))
     for i in range(len(pairs)):
         condition = condition & (F.col(f"left.__l{i}") == F.col(f"right.__r{i}"))

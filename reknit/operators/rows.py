@@ -57,8 +57,23 @@ def relabel(df: DataFrame, key: str, label: str, labels: Mapping) -> DataFrame:
 
 
 def fill_uuid(df: DataFrame, column: str) -> DataFrame:
-    """Give rows without one a random UUID, fixed by writing the table once."""
-    return materialize(df.withColumn(column, F.coalesce(F.col(column), F.expr("uuid()"))), "uuid")
+    """Give rows without one a random UUID, fixed by writing those rows once."""
+    filled = materialize(df.filter(F.col(column).isNull()).withColumn(column, F.expr("uuid()")),
+                         "uuid")
+    return df.filter(F.col(column).isNotNull()).unionByName(filled)
+
+
+def repeat_rows(df: DataFrame, times: str, chunk: int = 10_000) -> DataFrame:
+    """Each row as often as the column ``times`` says, which is dropped.
+
+    Counts are cut into chunks first, so that no row ever carries a long array.
+    """
+    last = F.floor((F.col(times) - 1) / chunk)
+    chunks = df.filter(F.col(times) > 0).withColumn(
+        "__chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    copies = F.least(F.lit(chunk), F.col(times) - F.col("__chunk") * chunk)
+    return chunks.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop(
+        "__copy", "__chunk", times)
 
 
 def cascade(edges: Iterable[tuple[str, str]], roots: Sequence[str]) -> set[str]:

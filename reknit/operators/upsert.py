@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from reknit.operators.joins import (
     keep_absent, keep_not_in, lookup, one_per_key, own_shuffle, translate_ids, update_from)
 from reknit.operators.keys import allocate_ids
-from reknit.operators.rows import append
+from reknit.operators.rows import append, repeat_rows
 from reknit.session import materialize
 
 
@@ -26,24 +26,25 @@ def _insert(target: DataFrame, new: DataFrame, id: str | None, order: Sequence[s
 
 def insert_missing(target: DataFrame, source: DataFrame, on, null_aware: bool = False,
                    among: Column | None = None, id: str | None = None,
-                   order: Sequence[str] | None = None, unique: bool = False) -> DataFrame:
+                   order: Sequence[str] | None = None, unique: bool = False,
+                   gap: int = 0) -> DataFrame:
     """Add the source rows without a counterpart in the target.
 
     ``on`` pairs source and target expressions. ``among`` restricts the target rows that
     count as counterparts. With ``null_aware`` one NULL key in the target lets nothing in, as
     NOT IN does. With ``id`` the new rows get fresh ids, in ``order``; ``unique`` says that
-    the columns of ``order`` tell the rows apart.
+    the columns of ``order`` tell the rows apart, ``gap`` skips ids before the first.
     """
     known = target if among is None else target.filter(among)
     new = keep_not_in(source, known, on) if null_aware else keep_absent(source, known, on)
-    return _insert(target, new, id, order, unique=unique)
+    return _insert(target, new, id, order, gap, unique)
 
 
 def insert_children(target: DataFrame, children: DataFrame, source_parents: DataFrame,
                     target_parents: DataFrame, parent_id: str, natural_key: str,
                     lookups: Sequence[tuple[DataFrame, Sequence, str, str]] = (),
                     id: str | None = None, order: Sequence[str] | None = None,
-                    unique: bool = False) -> DataFrame:
+                    unique: bool = False, gap: int = 0) -> DataFrame:
     """Add children under the target's parents, found through the parents' natural key.
 
     Each lookup (dimension, on, value, out) turns codes of the child into an id. Ids are given
@@ -52,7 +53,7 @@ def insert_children(target: DataFrame, children: DataFrame, source_parents: Data
     new = translate_ids(children, source_parents, target_parents, parent_id, natural_key)
     for dimension, on, value, out in lookups:
         new = lookup(new, dimension, on, value, out)
-    return _insert(target, new, id, order, unique=unique)
+    return _insert(target, new, id, order, gap, unique)
 
 
 def overwrite_matched(target: DataFrame, partner: DataFrame, on, values: Mapping[str, Column],
@@ -74,7 +75,10 @@ def insert_ignore(target: DataFrame, new: DataFrame, *unique: Sequence[str], id:
             new = keep_absent(new, target, columns)
     keys = [columns for columns in keys if set(columns) <= set(new.columns)]
     columns_order = [*order, *[name for name in new.columns if name not in order]]
-    if len(keys) == 1:
+    if not keys:
+        # Nothing that the new rows have could conflict.
+        accepted = new
+    elif len(keys) == 1:
         accepted = _first_of_key(new, keys[0], columns_order)
     else:
         accepted = _first_of_keys(new, keys, columns_order)
@@ -121,8 +125,7 @@ def _first_of_keys(new: DataFrame, keys: list[list[str]], order: list[str]) -> D
     chosen = reduce(DataFrame.unionByName, accepted)
     keyed = reduce(lambda a, b: a | b, [_has(key) for key in keys])
     copies = F.when(keyed, F.lit(1).cast("long")).otherwise(F.col("__copies"))
-    return chosen.select(*names, F.explode(F.sequence(F.lit(1).cast("long"), copies))
-                         .alias("__copy")).drop("__copy")
+    return repeat_rows(chosen.select(*names, copies.alias("__times")), "__times")
 
 
 def add_to_list(links: DataFrame, members: DataFrame, lists: DataFrame, code: str, member_id: str,

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 Schema = StructType | str
 
@@ -22,9 +22,13 @@ def read_tables(spark: SparkSession, folder: str, names: Iterable[str], format:
         reader = spark.read.format(format)
         if schemas and name in schemas:
             reader = reader.schema(schemas[name])
+        path = f"{folder.rstrip('/')}/{name}.{format}"
+        if format == "csv" and schemas and name in schemas:
+            tables[name] = read_delimited(spark, path, schemas[name])
+            continue
         if format == "csv":
             reader = reader.option("header", True)
-        tables[name] = reader.load(f"{folder.rstrip('/')}/{name}.{format}")
+        tables[name] = reader.load(path)
     return tables
 
 
@@ -51,6 +55,24 @@ def read_remote(spark: SparkSession, url: str, tables: Iterable[str],
     return found
 
 
+def read_delimited(spark: SparkSession, path: str, schema: Schema, sep: str = ",") -> DataFrame:
+    """A UTF-8 file with a header, whose columns are found by name in whatever order.
+
+    Columns outside the schema are left out, absent ones are an error, and so are files of
+    one folder with different headers and rows that don't fit.
+    """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = spark.read.csv(path, sep=sep, header=True, encoding="UTF-8").columns
+    absent = [name for name in schema.names if name not in header]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    ordered = StructType([schema[name] if name in schema.names else StructField(name, StringType())
+                          for name in header])
+    return spark.read.csv(path, sep=sep, header=True, schema=ordered, encoding="UTF-8",
+                          mode="FAILFAST", enforceSchema=False).select(
+        *[F.col(f"`{name}`") for name in schema.names])
+
+
 def diff_schema(left: str, right: str) -> str:
     """The columns of a difference list between two named databases."""
     return (f"{left}_id_zp long, {right}_id_zp long, {left}_cd_nom long, {right}_cd_nom long, "
@@ -59,8 +81,7 @@ def diff_schema(left: str, right: str) -> str:
 
 def read_diff_csv(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
     """A semicolon-separated UTF-8 file with a quoted header."""
-    return spark.read.csv(path, sep=";", header=True, schema=schema, encoding="UTF-8",
-                          mode="FAILFAST")
+    return read_delimited(spark, path, schema, ";")
 
 
 def read_import_batch(spark: SparkSession, root: str, name: str, schema: Schema, number: str,
@@ -70,8 +91,7 @@ def read_import_batch(spark: SparkSession, root: str, name: str, schema: Schema,
 
     ``rename`` maps the source columns to the expected ones (site code, site description).
     """
-    batch = spark.read.csv(f"{root.rstrip('/')}/{number}/{name}.csv", sep=sep, header=True,
-                           schema=schema, mode="FAILFAST")
+    batch = read_delimited(spark, f"{root.rstrip('/')}/{number}/{name}.csv", schema, sep)
     return batch.withColumnsRenamed(dict(rename or {})).withColumns(
         {"import_number": F.lit(number), "import_date": F.lit(imported)})
 

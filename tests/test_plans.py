@@ -147,7 +147,7 @@ def test_migrate_users(spark, frame, rows):
         (10000, "Users", None, None, "Imported."),
         (10001, "OBSERVERS", None, None, "Imported.")], key=repr)
     assert rows(roles.filter("id_role = 5"), "champs_addi") == [(
-        '{"migrateOriginalInfos":{"dateInsert":"2020-01-01T00:00:00.000Z","dateUpdate":null,'
+        '{"migrateOriginalInfos":{"dateInsert":"2020-01-01T00:00:00","dateUpdate":null,'
         '"lastAccess":null,"roleId":5,"organismId":1,"organismName":"Alpha"}}',)]
     assert roles.filter("uuid_role IS NULL").count() == 1  # the added group of administrators
     assert rows(done[migrate_users.GROUPS]) == [(10, 5), (10000, 5), (10001, 6)]
@@ -360,8 +360,8 @@ def test_habitat_stations(frame, rows):
     plots = habitat_stations.migrate_plots(snapshot)[habitat_stations.PLOTS]
     assert rows(plots) == [(1, 1, "A.1", None, 3), (2, 1, "A.2", None, 3), (3, 1, "A", 5.0, None)]
     sensors = habitat_stations.migrate_temperature_sensors(snapshot)[habitat_stations.SENSORS]
-    assert rows(sensors, "id_transect", "serial_number", "install_date") == [
-        (1, "S1", date(2020, 1, 2)), (2, "S1", date(2020, 1, 2))]
+    assert rows(sensors, "id_sensor", "id_transect", "serial_number", "install_date") == [
+        (1, 1, "S1", date(2020, 1, 2)), (2, 2, "S1", date(2020, 1, 2))]
 
 
 def test_publish_is_all_or_nothing(spark, frame, rows, tmp_path):
