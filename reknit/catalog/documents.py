@@ -25,17 +25,22 @@ def json_build(spark, folder):
 @query("""
 SELECT c_custkey, json_object('origin', json_object(
          'id', c_custkey, 'nation', n_name,
-         'segment', nullif(c_mktsegment, 'BUILDING')))::VARCHAR AS doc
+         'segment', nullif(c_mktsegment, 'BUILDING'),
+         'at', replace((TIMESTAMP '2020-01-01' + to_microseconds(c_custkey * 1234500))::VARCHAR,
+                       ' ', 'T')))::VARCHAR AS doc
 FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
 """)
 def provenance(spark, folder):
+    """Times go to the microsecond and belong to no zone."""
+    at = F.lit("2020-01-01").cast("timestamp_ntz") + F.make_dt_interval(
+        secs=F.col("c_custkey") * F.lit(1.2345).cast("decimal(10,6)"))
     customers = table(spark, folder, "customer")
     nations = table(spark, folder, "nation")
     source = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     target = customers.select("c_custkey", F.lit(None).cast("string").alias("doc"))
     return attach_provenance(target, source, "c_custkey", "doc", "origin", {
         "id": F.col("c_custkey"), "nation": F.col("n_name"),
-        "segment": F.nullif("c_mktsegment", F.lit("BUILDING"))})
+        "segment": F.nullif("c_mktsegment", F.lit("BUILDING")), "at": at})
 
 
 @query("""SELECT p_partkey, '{"' || p_partkey || '":"' || p_name || '"}' AS pair FROM part""")

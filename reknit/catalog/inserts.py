@@ -85,9 +85,10 @@ SELECT o_orderkey + 1000000 AS parent, l_linenumber AS line, l_partkey AS part,
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey
 LEFT JOIN dimension ON dimension.l_returnflag = lineitem.l_returnflag
 WHERE o_orderstatus = 'F'
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_linenumber = 2
 """)
 def insert_children_rows(spark, folder):
-    """Lines under the finished orders only, found by UUID, with a code looked up."""
+    """Lines under the finished orders, found by UUID, with a code looked up, added to others."""
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("parent"), "o_orderstatus",
         F.md5(F.col("o_orderkey").cast("string")).alias("uuid"))
@@ -98,8 +99,9 @@ def insert_children_rows(spark, folder):
     children = lines.select(
         F.col("l_orderkey").alias("parent"), F.col("l_linenumber").alias("line"),
         F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag"))
-    target = children.select("parent", "line", "part",
-                             F.lit(None).cast("long").alias("id_flag")).limit(0)
+    target = lines.filter("l_linenumber = 2").select(
+        F.col("l_orderkey").alias("parent"), F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("id_flag"))
     return insert_children(
         target, children, orders, arrived, "parent", "uuid",
         [(dimension, [(F.lit("FLAG"), "kind"), ("flag", "l_returnflag")], "l_suppkey", "id_flag")])

@@ -30,6 +30,25 @@ def anti_join_composite(spark, folder):
                        ["l_partkey", "l_suppkey"]).drop("l_returnflag")
 
 
+@query("""
+WITH words AS (
+  SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN chr(0) WHEN 1 THEN '' WHEN 2 THEN NULL
+                    ELSE lower(c_mktsegment) END AS word FROM customer)
+SELECT c_custkey, length(word) AS n FROM words
+WHERE NOT EXISTS (SELECT 1 FROM customer c
+                  WHERE lower(nullif(c.c_mktsegment, 'BUILDING')) = words.word)
+""")
+def anti_join_missing_texts(spark, folder):
+    """Against computed keys, some of them NULL: NUL and empty texts are texts like others."""
+    customers, key = table(spark, folder, "customer"), F.col("c_custkey")
+    word = (F.when(key % 4 == 0, F.lit("\0")).when(key % 4 == 1, F.lit(""))
+            .when(key % 4 == 3, F.lower("c_mktsegment")))
+    left = customers.select("c_custkey", word.alias("word"))
+    given = F.lower(F.nullif("c_mktsegment", F.lit("BUILDING")))
+    return keep_absent(left, customers, [("word", given)]).select(
+        "c_custkey", F.length("word").cast("long").alias("n"))
+
+
 @query("""
 SELECT c.c_custkey, c.c_name
 FROM customer c LEFT JOIN orders o
@@ -181,10 +200,13 @@ SELECT event_id, props FROM events WHERE EXISTS (
         = json_extract(props, '$.k'))
 """)
 def json_typed_join(spark, folder):
-    """Numbers and texts differ: only even customers carry a number."""
+    """Numbers and texts differ: only even customers carry a number, written in three ways."""
     key = F.col("c_custkey")
+    written = F.when(key % 6 == 0, F.concat(key.cast("string"), F.lit(".0"))).when(
+        key % 6 == 2, F.concat((key / 10).cast("decimal(38,1)").cast("string"), F.lit("e1"))
+    ).otherwise(key.cast("string"))
     customers = table(spark, folder, "customer").select(
-        F.when(key % 2 == 0, F.to_json(F.struct(key.alias("k"))))
+        F.when(key % 2 == 0, F.concat(F.lit('{"k":'), written, F.lit("}")))
         .otherwise(F.to_json(F.struct(key.cast("string").alias("k")))).alias("doc"))
     events = table(spark, folder, "events").select("event_id", "props")
     return keep_present(events, customers, [(json_typed("props", "k"), json_typed("doc", "k"))])

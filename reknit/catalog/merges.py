@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,6 +115,18 @@ def drop_merged_entities(spark, folder):
     return drop_entities(customers, "c_custkey", resolve_requests(block_requests(customers)))
 
 
+def _merged_snapshot(spark, folder):
+    customers, orders = table(spark, folder, "customer"), table(spark, folder, "orders")
+    spec = MergeSpec(
+        "customer", "c_custkey",
+        links=[LinkRule("contacts", "o_custkey", ("o_orderstatus", "o_orderpriority")),
+               LinkRule("absent", "o_custkey", ("o_orderstatus",), optional=True)],
+        keys=[KeyRule("orders", "o_custkey")])
+    snapshot = {"customer": customers, "orders": orders.select("o_orderkey", "o_custkey"),
+                "contacts": orders.select("o_custkey", "o_orderstatus", "o_orderpriority")}
+    return apply_merges(snapshot, spec, block_requests(customers))
+
+
 @query(MAP + """
 , o AS (SELECT coalesce(survivor, o_custkey) AS k FROM orders LEFT JOIN map ON id = o_custkey),
 linked AS (
@@ -126,15 +140,7 @@ UNION ALL SELECT 'orders', count(*), count(DISTINCT k) FROM o
 UNION ALL SELECT 'contacts', count(*), count(DISTINCT k) FROM linked WHERE r = 1
 """)
 def merge_snapshot_counts(spark, folder):
-    customers, orders = table(spark, folder, "customer"), table(spark, folder, "orders")
-    spec = MergeSpec(
-        "customer", "c_custkey",
-        links=[LinkRule("contacts", "o_custkey", ("o_orderstatus", "o_orderpriority")),
-               LinkRule("absent", "o_custkey", ("o_orderstatus",), optional=True)],
-        keys=[KeyRule("orders", "o_custkey")])
-    snapshot = {"customer": customers, "orders": orders.select("o_orderkey", "o_custkey"),
-                "contacts": orders.select("o_custkey", "o_orderstatus", "o_orderpriority")}
-    merged = apply_merges(snapshot, spec, block_requests(customers))
+    merged = _merged_snapshot(spark, folder)
     counts = [merged[name].agg(F.count("*").alias("n"), F.countDistinct(key).alias("ids"))
               .select(F.lit(name).alias("name"), "n", "ids")
               for name, key in (("customer", "c_custkey"), ("orders", "o_custkey"),
@@ -142,6 +148,31 @@ def merge_snapshot_counts(spark, folder):
     return counts[0].union(counts[1]).union(counts[2])
 
 
+@query(MAP + """
+, linked AS (
+  SELECT coalesce(survivor, o_custkey) AS k, o_orderstatus, o_orderpriority,
+         rank() OVER (PARTITION BY coalesce(survivor, o_custkey), o_orderstatus, o_orderpriority
+                      ORDER BY coalesce(prio, -1)) AS r
+  FROM orders LEFT JOIN map ON id = o_custkey)
+SELECT 'customer' AS name, c_custkey AS id, c_name AS a, c_mktsegment AS b
+FROM customer WHERE c_custkey = c_custkey // 10 * 10
+UNION ALL SELECT 'orders', coalesce(survivor, o_custkey), o_orderkey::VARCHAR, NULL
+FROM orders LEFT JOIN map ON id = o_custkey
+UNION ALL SELECT 'contacts', k, o_orderstatus, o_orderpriority FROM linked WHERE r = 1
+""")
+def merge_snapshot_rows(spark, folder):
+    """The merged tables themselves, below each other."""
+    merged = _merged_snapshot(spark, folder)
+    columns = {"customer": ("c_custkey", F.col("c_name"), F.col("c_mktsegment")),
+               "orders": ("o_custkey", F.col("o_orderkey").cast("string"), F.lit(None)),
+               "contacts": ("o_custkey", F.col("o_orderstatus"), F.col("o_orderpriority"))}
+    return reduce(DataFrame.union, [
+        merged[name].select(F.lit(name).alias("name"), F.col(key).alias("id"), one.alias("a"),
+                            other.cast("string").alias("b"))
+        for name, (key, one, other) in columns.items()])
+
+
+
 @query(MAP + """
 SELECT coalesce(survivor, o_custkey) AS c_custkey, count(*) AS lines,
        count(DISTINCT o_orderkey) AS orders,

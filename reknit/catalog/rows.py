@@ -88,6 +88,39 @@ def truncate_cascade_counts(spark, folder):
                                     ["customer"]))
 
 
+@query("""
+SELECT 'part' AS name, p_partkey AS id FROM part
+UNION ALL SELECT 'supplier', s_suppkey FROM supplier
+UNION ALL SELECT 'events', event_id FROM events
+""")
+def truncate_cascade_rows(spark, folder):
+    keys = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey",
+            "part": "p_partkey", "supplier": "s_suppkey", "events": "event_id"}
+    edges = [("orders", "customer"), ("lineitem", "orders"), ("lineitem", "part"),
+             ("customer", "nation"), ("supplier", "nation")]
+    left = truncate_cascade({n: table(spark, folder, n) for n in keys}, edges, ["customer"])
+    return reduce(DataFrame.union, [
+        df.select(F.lit(name).alias("name"), F.col(keys[name]).alias("id"))
+        for name, df in left.items()])
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING'
+  THEN '00000000-0000-4000-8000-000' || lpad(c_custkey::VARCHAR, 9, '0') ELSE 'made' END AS uuid
+FROM customer
+""")
+def conditional_uuid_rows(spark, folder):
+    """Every row by its key: given ids as they were, the made ones by their form."""
+    key = F.col("c_custkey")
+    given = F.when(F.col("c_mktsegment") == "BUILDING", F.concat(
+        F.lit("00000000-0000-4000-8000-000"), F.lpad(key.cast("string"), 9, "0")))
+    customers = table(spark, folder, "customer").select("c_custkey", given.alias("uuid"))
+    form = F.col("uuid").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$") & ~F.startswith(
+        "uuid", F.lit("00000000-0000"))
+    return fill_uuid(customers, "uuid").select(
+        "c_custkey", F.when(form, "made").otherwise(F.col("uuid")).alias("uuid"))
+
+
 @query("""
 SELECT count(*) AS n, count(*) AS filled, count(*) AS well_formed,
        count(*) FILTER (c_mktsegment = 'BUILDING') AS kept

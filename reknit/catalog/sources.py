@@ -52,12 +52,14 @@ SELECT o_orderkey AS ours_id_zp, o_custkey AS theirs_id_zp, o_orderkey + 1 AS ou
 FROM orders
 """)
 def diff_file(spark, folder):
+    """The columns of the file stand in another order, and it has one more."""
     path, schema = scratch_path(spark, "diff"), diff_schema("ours", "theirs")
     key, other = F.col("o_orderkey"), F.col("o_custkey")
     (table(spark, folder, "orders")
-     .select(key.alias("ours_id_zp"), other.alias("theirs_id_zp"), (key + 1).alias("ours_cd_nom"),
-             F.when(F.col("o_orderstatus") == "F", other + 1).alias("theirs_cd_nom"),
-             F.concat_ws(", ", "o_orderstatus", "o_orderpriority").alias("nom_obs"))
+     .select(F.when(F.col("o_orderstatus") == "F", other + 1).alias("theirs_cd_nom"),
+             (key + 1).alias("ours_cd_nom"), key.alias("ours_id_zp"),
+             F.concat_ws(", ", "o_orderstatus", "o_orderpriority").alias("nom_obs"),
+             F.lit("x").alias("more"), other.alias("theirs_id_zp"))
      .write.csv(path, sep=";", header=True))
     return read_diff_csv(spark, path, schema)
 
@@ -76,7 +78,8 @@ def import_batches(spark, folder):
         "01": table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment"),
         "02": table(spark, folder, "supplier").select("s_suppkey", "s_name", F.lit("supply"))}
     for number, batch in batches.items():
-        batch.toDF("visit", "code", "taxon").write.csv(f"{root}/{number}/visits.csv", header=True)
+        batch.toDF("visit", "code", "taxon").select("taxon", "visit", "code").write.csv(
+            f"{root}/{number}/visits.csv", header=True)
     rename = {"code": "site_code", "taxon": "site_desc"}
     for number, day in (("01", 1), ("02", 2), ("01", 1)):
         write_import_batch(read_import_batch(spark, root, "visits", schema, number,

@@ -210,22 +210,38 @@ def lists_side_by_side(spark, folder):
 
 
 PLOTS = """
-  SELECT p_partkey AS id, p_type AS transect, p_brand || '.' || p_partkey AS code,
-         p_size AS distance, NULL::BIGINT AS parent FROM part
+  SELECT p_partkey AS id, CASE WHEN p_partkey % 5 > 0 THEN p_type END AS transect,
+         p_brand || '.' || p_partkey AS code, p_size AS distance, NULL::BIGINT AS parent FROM part
+  UNION ALL
+  SELECT p_partkey + 1000000000, p_type, p_brand, CAST(p_size + p_partkey % 2 AS INTEGER), NULL
+  FROM part WHERE p_partkey % 7 = 0
+  UNION ALL
+  SELECT p_partkey + 2000000000, NULL, p_brand, p_size, NULL FROM part WHERE p_partkey % 25 = 0
 """
 PARENTS = f"""
-  SELECT (SELECT max(p_partkey) FROM part) + row_number() OVER (
-           ORDER BY transect, code, distance) AS id, transect, code, distance
-  FROM (SELECT DISTINCT transect, split_part(code, '.', 1) AS code, distance FROM ({PLOTS}))
+  SELECT (SELECT max(id) FROM ({PLOTS})) + row_number() OVER (
+           ORDER BY transect NULLS FIRST, code, distance) AS id, transect, code, distance
+  FROM (SELECT transect, split_part(code, '.', 1) AS code, distance FROM ({PLOTS})
+        WHERE code LIKE '%.%'
+        EXCEPT SELECT transect, code, distance FROM ({PLOTS}) WHERE code NOT LIKE '%.%')
 """
 SHAPE = dict(id="id", code="code", by=["transect"], moved="distance", parent="parent")
 
 
 def plots(spark, folder):
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").alias("id"), F.col("p_type").alias("transect"),
-        F.concat("p_brand", F.lit("."), F.col("p_partkey").cast("string")).alias("code"),
-        F.col("p_size").alias("distance"), F.lit(None).cast("long").alias("parent"))
+    """Dotted plots, some of no transect; undotted ones, half of them at another distance."""
+    parts, key = table(spark, folder, "part"), F.col("p_partkey")
+    columns = ["id", "transect", "code", "distance"]
+    dotted = parts.select(
+        key, F.when(key % 5 > 0, F.col("p_type")),
+        F.concat("p_brand", F.lit("."), key.cast("string")), "p_size").toDF(*columns)
+    alone = parts.filter(key % 7 == 0).select(
+        key + 1000000000, "p_type", "p_brand",
+        (F.col("p_size") + key % 2).cast("int")).toDF(*columns)
+    outside = parts.filter(key % 25 == 0).select(
+        key + 2000000000, F.lit(None).cast("string"), "p_brand", "p_size").toDF(*columns)
+    return dotted.unionByName(alone).unionByName(outside).withColumn(
+        "parent", F.lit(None).cast("long"))
 
 
 @query(f"""
@@ -238,11 +254,12 @@ def derived_parents(spark, folder):
 
 @query(f"""
 WITH plots AS ({PLOTS}), parents AS ({PARENTS}),
-first AS (SELECT transect, code, min(id) AS id FROM parents GROUP BY ALL)
-SELECT plots.id, plots.transect, plots.code, NULL::INTEGER AS distance, first.id AS parent
-FROM plots JOIN first ON first.transect = plots.transect
-  AND first.code = split_part(plots.code, '.', 1)
-UNION ALL SELECT id, transect, code, distance, NULL FROM parents
+every AS (SELECT id, transect, code, distance FROM plots UNION ALL SELECT * FROM parents),
+first AS (SELECT transect, code, min(id) AS id FROM every WHERE code NOT LIKE '%.%' GROUP BY ALL)
+SELECT every.id, every.transect, every.code, first.id AS parent,
+       CASE WHEN first.id IS NULL THEN distance END AS distance
+FROM every LEFT JOIN first ON first.transect = every.transect AND every.code LIKE '%.%'
+  AND first.code = split_part(every.code, '.', 1)
 """)
 def linked_parents(spark, folder):
     with_parents = materialize(derive_parents(plots(spark, folder), **SHAPE), "plots")
