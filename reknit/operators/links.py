@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from reknit.functions.documents import json_set
 from reknit.functions.lists import explode_list, explode_together, split_list
 from reknit.functions.text import person_key, squash
-from reknit.operators.joins import keep_absent, translate_codes, update_from
+from reknit.operators.joins import keep_absent, own_shuffle, update_from
+from reknit.session import broadcast_if_small, materialize, measure
 
 
 def codes_to_links(df: DataFrame, id: str, codes: str, dimension: DataFrame, code: str, value: str,
@@ -20,13 +21,15 @@ def codes_to_links(df: DataFrame, id: str, codes: str, dimension: DataFrame, cod
     A code is looked up as it is and, given a mapping, as its standard code as well. Codes of
     every type match unless a type is named.
     """
-    listed = explode_list(df.select(id, codes), codes, code).select(id, code).distinct()
-    if mapping is not None:
-        listed = listed.union(translate_codes(listed, mapping, code, source, standard)
-                              .select(id, code)).distinct()
     if type_column is not None:
         dimension = dimension.filter(F.col(type_column) == type_name)
-    return listed.join(dimension.select(code, value), code).select(id, value).distinct()
+    known = dimension.select(code, value)
+    if mapping is not None:
+        # Both are small beside the lists: the dimension is put under the other codes as well.
+        other = mapping.select(F.col(standard).alias(code), F.col(source).alias("__source"))
+        known = known.union(known.join(other, code).select("__source", value))
+    listed = explode_list(df.select(id, codes), codes, code).select(id, code)
+    return listed.join(own_shuffle(known.distinct(), [code]), code).select(id, value).distinct()
 
 
 def links_from_id_list(df: DataFrame, ids: str, key: str, targets: DataFrame, target_key: str,
@@ -48,15 +51,16 @@ def missing_links(df: DataFrame, id: str, names: str, links: DataFrame, people:
 
     Names are compared by their keys; a name that several people bear links them all.
     """
-    keyed = people.select(person_id, person_key(first, last).alias("__name"))
+    keyed = materialize(people.select(person_id, person_key(first, last).alias("__name")), "names")
+    keyed = broadcast_if_small(keyed, measure(keyed))
     # Split before normalising, so that items without accents are left alone. Items are never
     # NULL; saying so spares a filter that would normalise them once more.
     items = explode_list(df.select(id, names), names, "__item", trim=False)
     name = F.coalesce(squash("__item"), F.lit(""))
-    listed = items.select(id, name.alias("__name")).distinct()
+    # Names that nobody bears go before anything is shuffled to meet the links.
+    listed = items.select(id, name.alias("__name")).join(keyed, "__name")
     linked = links.join(keyed, person_id).select(id, "__name")
-    return (keep_absent(listed, linked, [id, "__name"]).join(keyed, "__name")
-            .select(id, person_id))
+    return keep_absent(listed, linked, [id, "__name"]).select(id, person_id).distinct()
 
 
 def link_missing_observers(people: DataFrame, partner_people: DataFrame, zones: DataFrame,

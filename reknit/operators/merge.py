@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from reknit.operators.joins import own_shuffle
 from reknit.operators.keys import number_rows
 from reknit.operators.rows import Snapshot
-from reknit.session import broadcast_if_small, materialize, measure
+from reknit.session import BROADCAST_BYTES, broadcast_if_small, materialize, measure
 
 log = logging.getLogger(__name__)
 
 # The priority of a row that already sits on the survivor: below every request step.
 SURVIVOR = -1
+# More than there can be requests; places in a walk are counted back from it.
+LAST = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -78,11 +80,61 @@ def _summary(requests: DataFrame):
                          + steps.agg(F.count_if(F.col("n") > 1)).scalar()).alias("wrong")).first()
 
 
+def _in_order_of_arrival(olds: DataFrame) -> DataFrame:
+    """Chained requests (id, survivor, prio) with the final survivor and the id's place.
+
+    The steps from a survivor down to an id, the latest first, order the ids. That is a walk
+    through the forest of merges that takes what was merged into a node by step, so the walk's
+    arcs, one down to each id and one back up, make a list: after the way down come the first
+    id merged into it, or the way up; after the way up its next sibling, or the parent's way
+    up. An id's place is the number of ways down before it, summed by doubling along the list.
+    """
+    # Siblings are neighbours in the order of (survivor, step).
+    placed = materialize(number_rows(olds, ["survivor", "prio"], "n", unique=True), "placed")
+    after = placed.select((F.col("n") - 1).alias("n"), F.col("survivor"),
+                          F.col("id").alias("sibling"))
+    firsts = placed.groupBy(F.col("survivor").alias("id")).agg(F.min("n").alias("n")).join(
+        placed.select("n", F.col("id").alias("child")), "n").select("id", "child")
+    tree = placed.join(after, ["survivor", "n"], "left").join(
+        own_shuffle(firsts, ["id"]), "id", "left")
+    parents = own_shuffle(placed.select(F.col("id").alias("survivor")), ["survivor"])
+    tree = tree.join(parents.withColumn("inner", F.lit(True)), "survivor", "left")
+
+    def arc(id, down: bool):
+        return F.struct(F.col(id).alias("id"), F.lit(down).alias("down"))
+
+    # weight: ways down from here to before ``next``, or to the end of the tree's list.
+    down = tree.select(arc("id", True).alias("arc"),
+                       F.when(F.col("child").isNotNull(), arc("child", True))
+                       .otherwise(arc("id", False)).alias("next"), F.lit(1).alias("weight"))
+    up = tree.select(arc("id", False).alias("arc"),
+                     F.when(F.col("sibling").isNotNull(), arc("sibling", True))
+                     .when(F.col("inner"), arc("survivor", False)).alias("next"),
+                     F.lit(0).alias("weight"))
+    arcs = materialize(down.unionByName(up).withColumn("weight", F.col("weight").cast("long")),
+                       "arcs")
+    ways = olds.select("id", "survivor")
+    open_arcs = True
+    while open_arcs:
+        onward = arcs.select(F.col("arc").alias("next"), F.col("next").alias("later"),
+                             F.col("weight").alias("more"))
+        arcs = materialize(arcs.join(own_shuffle(onward, ["next"]), "next", "left").select(
+            "arc", F.col("later").alias("next"),
+            (F.col("weight") + F.coalesce("more", F.lit(0))).alias("weight")), "arcs")
+        onward = ways.select(F.col("id").alias("survivor"), F.col("survivor").alias("further"))
+        ways = materialize(ways.join(own_shuffle(onward, ["survivor"]), "survivor", "left").select(
+            "id", F.coalesce("further", "survivor").alias("survivor")), "ways")
+        open_arcs = not arcs.filter("next IS NOT NULL").isEmpty()
+    # Of one survivor's ids, the earlier ones have more ways down before the list ends.
+    weights = arcs.filter("arc.down").select(F.col("arc.id").alias("id"), "weight")
+    return ways.join(weights, "id").select("id", "survivor", (LAST - F.col("weight")).alias("prio"))
+
+
 def resolve_requests(requests: DataFrame) -> KeyMap:
     """Check the requests and follow each old id to its final survivor.
 
-    Chains are followed by doubling, so a chain of length n takes log2(n) joins; requests
-    without chains take none.
+    Chains are followed by doubling, so a chain of length n takes log2(n) rounds over rows of
+    constant size; requests without chains take none.
     """
     requests = materialize(requests.select(
         *[F.col(name).cast("long").alias(name) for name in ("step", "old_id", "new_id")]),
@@ -92,24 +144,10 @@ def resolve_requests(requests: DataFrame) -> KeyMap:
         examples = invalid_requests(requests).take(5)
         raise ValueError("merge requests cannot be applied: " + "; ".join(
             f"{row.old_id} into {row.new_id}: {row.reason}" for row in examples))
-    paths = requests.select(F.col("old_id").alias("id"), F.col("new_id").alias("survivor"),
-                            F.array("step").alias("path"))
-    chained = open_ends = summary.chained
-    while open_ends:
-        onward = paths.select(F.col("id").alias("survivor"), F.col("survivor").alias("next"),
-                              F.col("path").alias("later"))
-        # The latest step comes first: it decides which of two merged rows was there before.
-        paths = materialize(paths.join(onward, "survivor", "left").select(
-            "id", F.coalesce("next", "survivor").alias("survivor"),
-            F.when(F.col("later").isNull(), F.col("path"))
-            .otherwise(F.concat("later", "path")).alias("path")), "paths")
-        open_ends = paths.join(paths.select(F.col("id").alias("survivor")), "survivor",
-                               "left_semi").count()
-    if chained:
-        # Paths are unique and order the ids of one survivor; their rank is a plain number.
-        olds = number_rows(paths, ["path"], "prio", unique=True)
-    else:
-        olds = paths.withColumn("prio", F.col("path")[0])
+    olds = requests.select(F.col("old_id").alias("id"), F.col("new_id").alias("survivor"),
+                           F.col("step").alias("prio"))
+    if summary.chained:
+        olds = materialize(_in_order_of_arrival(olds), "olds")
     survivors = olds.select("survivor").distinct().select(
         F.col("survivor").alias("id"), "survivor", F.lit(SURVIVOR).cast("long").alias("prio"))
     rows = materialize(olds.select("id", "survivor", "prio").unionByName(survivors), "keymap")
@@ -132,8 +170,9 @@ def merge_links(df: DataFrame, key: str, compare: Sequence[str], keymap: KeyMap)
     them NULL. Of colliding rows, those of the id that reached the survivor first stay.
 
     Only rows of named ids are grouped, with map-side combining. The groups that really
-    collide are written and measured, so that the table itself, which may be far larger,
-    need not be shuffled to meet them.
+    collide are written and measured. Where they are too many to be broadcast, rows of other
+    ids, which cannot collide, pass them by: of the table only the named rows are shuffled to
+    meet them.
     """
     rekeyed = _rekey(df, key, keymap)
     group = [key, *compare]
@@ -147,8 +186,13 @@ def merge_links(df: DataFrame, key: str, compare: Sequence[str], keymap: KeyMap)
         return rekeyed.drop("__prio")
     same = reduce(lambda a, b: a & b,
                   [F.col(name) == F.col(other) for name, other in zip(group, names)])
-    return rekeyed.join(broadcast_if_small(contested, size),
-                        same & (F.col("__prio") > F.col("__kept")), "left_anti").drop("__prio")
+    lost = same & (F.col("__prio") > F.col("__kept"))
+    if size <= BROADCAST_BYTES:
+        return rekeyed.join(broadcast_if_small(contested, size), lost, "left_anti").drop("__prio")
+    ids = keymap.joinable().select(F.col("id").alias("__id"))
+    others = df.join(ids, F.col(key) == F.col("__id"), "left_anti")
+    named = rekeyed.filter(F.col("__prio").isNotNull()).join(contested, lost, "left_anti")
+    return others.unionByName(named.drop("__prio"))
 
 
 def merge_fk(df: DataFrame, key: str, keymap: KeyMap) -> DataFrame:

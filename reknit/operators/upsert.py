@@ -20,7 +20,8 @@ def _insert(target: DataFrame, new: DataFrame, id: str | None, order: Sequence[s
     new = new.select(*[name for name in target.columns if name in new.columns])
     if id is not None:
         order = order or [name for name in new.columns if name != id]
-        new = allocate_ids(new, target, id, order, gap, unique)
+        # The ids are fixed by writing the new rows, and only these.
+        new = materialize(allocate_ids(new, target, id, order, gap, unique), "new")
     return append(target, new)
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import SparkSession
 
 from reknit.operators.merge import KeyRule, LinkRule, MergeSpec, apply_merges
 from reknit.operators.rows import Snapshot
+from reknit.session import job_scratch
 from reknit.sources.publish import publish
-from reknit.sources.requests import read_merge_requests
+from reknit.sources.requests import merge_requests, read_merge_requests
 
 # The tables that refer to a person.
 PEOPLE = MergeSpec(
@@ -67,5 +70,19 @@ ORGANISMS = MergeSpec(
 
 def merge_from_file(spark: SparkSession, snapshot: Snapshot, spec: MergeSpec, path: str,
                     root: str) -> str:
-    """Apply a request file and publish the merged snapshot; returns the version."""
-    return publish(spark, apply_merges(snapshot, spec, read_merge_requests(spark, path)), root)
+    """Apply a request file and publish the merged snapshot; returns the version.
+
+    Tables that the merge leaves alone are shared with the version the snapshot was read from,
+    and nothing stays in the scratch folder.
+    """
+    with job_scratch(spark):
+        return publish(spark, apply_merges(snapshot, spec, read_merge_requests(spark, path)), root,
+                       snapshot)
+
+
+def merge_from_arguments(spark: SparkSession, snapshot: Snapshot, spec: MergeSpec,
+                         pairs: Iterable[tuple[int, str]], root: str) -> str:
+    """The same for (survivor, comma list of old ids) pairs."""
+    with job_scratch(spark):
+        return publish(spark, apply_merges(snapshot, spec, merge_requests(spark, pairs)), root,
+                       snapshot)

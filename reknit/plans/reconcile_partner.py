@@ -105,8 +105,8 @@ def reconcile_partner(spark: SparkSession, snapshot: Snapshot, partner: Partner)
     organism = organism_by_name(done[ORGANISMS], partner.organism)
     common = F.get_json_object("additional_data", f"$.{ORIGIN}.nomOrganisme") == partner.origin
 
-    # Generated ids and keys computed from documents are used more than once from here on,
-    # so the tables that get new rows are written before the next step reads them.
+    # Inserts write their new rows, with the ids these got. The roles before them have keys
+    # computed from documents that several steps use, so they are written once.
     reference = json_nested(ORIGIN, **{partner.field: F.col("id_role")})
     taken = partner.roles.select("id_role", "email", *SHARED_COLUMNS,
                                  reference.alias("champs_addi"))
@@ -125,13 +125,13 @@ def reconcile_partner(spark: SparkSession, snapshot: Snapshot, partner: Partner)
             F.lit(False).alias("groupe"), *NEW_COLUMNS, organism.alias("id_organisme"),
             reference.alias("champs_addi")),
         "uuid_role", null_aware=True, id="id_role", order=["uuid_role"], unique=True)
-    done[ROLES] = roles = materialize(roles, "roles")
+    done[ROLES] = roles
 
     zones = insert_missing(
         done[ZONES], partner.zones.drop("id_zp", "ids_role", "nom_obs"),
         [(zone_index(), zone_index())], among=common, id="id_zp", order=["uuid_zp"],
         unique=True)
-    done[ZONES] = zones = materialize(zones, "zones")
+    done[ZONES] = zones
 
     lookups = [
         (done[NOMENCLATURES],
@@ -141,7 +141,7 @@ def reconcile_partner(spark: SparkSession, snapshot: Snapshot, partner: Partner)
         for name, kind in AREA_CODES.items()]
     areas = insert_children(done[AREAS], partner.areas, partner.zones, zones, "id_zp", "uuid_zp",
                             lookups, id="id_ap", order=["uuid_ap"], unique=True)
-    done[AREAS] = areas = materialize(areas, "areas")
+    done[AREAS] = areas
 
     shared = (partner.zones.select(zone_index().alias("__index"), "nom_obs")
               .join(zones.filter(common).select(zone_index().alias("__index"), "id_zp"),

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Where intermediate tables lie on the default file system, if no folder is set.
+DEFAULT_SCRATCH = "/tmp/reknit-scratch"
+
 # Measured bytes up to which a table is broadcast; beyond it the same join shuffles.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -32,26 +36,48 @@ def build_session(app_name: str = "reknit", master: str | None = None, **conf) -
 def scratch_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: the checkpoint folder of the session.
 
-    Every executor must see it, so a cluster has to name one; only local runs may
-    fall back to a temporary folder.
+    Where none is set, it is a folder on the default Hadoop file system. Every executor must
+    see it, so on a cluster whose default file system is each machine's own, a shared one has
+    to be named.
     """
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    files, location = hadoop_path(spark, DEFAULT_SCRATCH)
+    if files.getScheme() == "file" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="reknit-"))
-    return context.getCheckpointDir()
+    return files.makeQualified(location).toString()
 
 
 def _own_scratch(spark: SparkSession) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/reknit-{spark.sparkContext.applicationId}"
 
 
+# Paths of the jobs under way, the innermost last.
+_jobs: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below this application's part of the scratch folder."""
-    return f"{_own_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    if _jobs:
+        _jobs[-1].append(path)
+    return path
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables made inside, once the job has published its results."""
+    paths: list[str] = []
+    _jobs.append(paths)
+    try:
+        yield
+    finally:
+        _jobs.remove(paths)
+        for path in paths:
+            files, location = hadoop_path(spark, path)
+            files.delete(location, True)
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -80,9 +106,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def measure(df: DataFrame) -> int:
-    """The bytes of a table's values, computed on the executors."""
-    widths = [F.coalesce(F.octet_length(name), F.lit(0)) if kind in ("string", "binary")
-              else F.lit(8) for name, kind in df.dtypes]
+    """The bytes of a table's values, computed on the executors; nested ones as their JSON."""
+    def width(name: str, kind: str):
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(name), F.lit(0))
+        if kind.startswith(("array", "map", "struct", "variant")):
+            return F.octet_length(F.to_json(F.struct(name)))
+        return F.lit(16 if kind.startswith("decimal") else 8)
+
+    widths = [width(name, kind) for name, kind in df.dtypes]
     total = df.agg(F.sum(sum(widths, F.lit(0)).cast("long")).alias("bytes")).first()
     return total.bytes or 0
 

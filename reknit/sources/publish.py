@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,21 +13,57 @@ from reknit.operators.rows import Snapshot
 from reknit.session import hadoop_path
 
 
-def publish(spark: SparkSession, snapshot: Snapshot, root: str) -> str:
-    """Write all tables below a fresh version, then mark it published.
+# Tables that are written at the same time.
+WRITERS = 4
 
-    The mark is one empty file, created last; a failure before leaves the earlier version
-    current. Returns the version.
+
+class Published(dict):
+    """A snapshot read from a published version, which knows where its tables lie."""
+
+    def __init__(self, tables: Snapshot, root: str, folders: dict[str, str]):
+        super().__init__(tables)
+        self.root, self.folders = root, folders
+
+
+def publish(spark: SparkSession, snapshot: Snapshot, root: str,
+            base: Snapshot | None = None) -> str:
+    """Write the tables below a fresh version, then publish it; returns the version.
+
+    Tables that are still the very DataFrames of ``base``, a version read from the same root,
+    are not written again: the version's manifest names the folder they lie in. The manifest
+    appears last and whole; a failure before leaves the earlier version current.
     """
     root = root.rstrip("/")
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    for name, table in snapshot.items():
-        table.write.parquet(f"{root}/versions/{version}/{name}")
+    folders = {}
+    if isinstance(base, Published) and base.root == root:
+        folders = {name: base.folders[name] for name, table in snapshot.items()
+                   if table is base.get(name)}
+    changed = [name for name in snapshot if name not in folders]
+    folders.update({name: f"versions/{version}/{name}" for name in changed})
+
+    def write(name: str) -> None:
+        snapshot[name].write.parquet(f"{root}/{folders[name]}")
+
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(write, changed))
     files, mark = hadoop_path(spark, f"{root}/published/{version}")
-    files.create(mark, False).close()
+    _, unfinished = hadoop_path(spark, f"{root}/unpublished-{version}")
+    stream = files.create(unfinished, False)
+    stream.write(bytearray(json.dumps(folders, sort_keys=True).encode()))
+    stream.close()
+    files.mkdirs(mark.getParent())
+    if not files.rename(unfinished, mark):
+        raise RuntimeError(f"{root}: version {version} could not be published")
     return version
 
 
+def _folders(spark: SparkSession, root: str, version: str) -> dict[str, str]:
+    """The folder of every table of a version, relative to the root."""
+    manifest = spark.read.text(f"{root}/published/{version}", wholetext=True).first()
+    return json.loads(manifest.value)
+
+
 def published_versions(spark: SparkSession, root: str) -> list[str]:
     """The published versions, oldest first."""
     files, folder = hadoop_path(spark, f"{root.rstrip('/')}/published")
@@ -41,9 +79,9 @@ def read_published(spark: SparkSession, root: str, version: str | None = None) -
     version = version or (versions[-1] if versions else None)
     if version not in versions:
         raise FileNotFoundError(f"no published version {version or ''} below {root}")
-    files, folder = hadoop_path(spark, f"{root}/versions/{version}")
-    return {name: spark.read.parquet(f"{root}/versions/{version}/{name}")
-            for name in sorted(s.getPath().getName() for s in files.listStatus(folder))}
+    folders = _folders(spark, root, version)
+    return Published({name: spark.read.parquet(f"{root}/{folder}")
+                      for name, folder in sorted(folders.items())}, root, folders)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

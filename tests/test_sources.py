@@ -60,7 +60,8 @@ def test_stage_and_catalog(frame, spark):
 def test_scratch_is_the_checkpoint_folder(spark):
     assert "checkpoints" in scratch_dir(spark)
     cluster = SimpleNamespace(
-        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"),
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn",
+                                     _jvm=spark._jvm, _jsc=spark.sparkContext._jsc),
         conf=SimpleNamespace(get=lambda *_: None))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(cluster)
