@@ -41,7 +41,7 @@ CHANCE = 1 / 2**BITS
 
 # A task takes at most so many members and shingles of a side; larger groups are dealt in blocks.
 BLOCK_MEMBERS = 2_000
-BLOCK_SHINGLES = 4_000_000
+BLOCK_SHINGLES = 2_000_000
 # A family of up to so many blocks is dealt in pairs of them, a larger one bucket by bucket.
 GRID = 16
 

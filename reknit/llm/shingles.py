@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 # Words whose hash a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
