@@ -163,6 +163,20 @@ def insert_under_two_keys(spark, folder):
     return insert_ignore(target, parts, ["id"], ["p_name", "p_brand"], order=["id"])
 
 
+@query("""
+SELECT k AS id, k // 2 AS a, CASE WHEN k % 8 < 7 THEN (k + 1) // 2 END AS b
+FROM (SELECT p_partkey - (SELECT min(p_partkey) FROM part) AS k FROM part) WHERE k % 2 = 0
+""")
+def insert_along_chains(spark, folder):
+    """Each row conflicts with the one before and the one after it, in runs of eight."""
+    parts = table(spark, folder, "part")
+    k = F.col("p_partkey") - parts.agg(F.min("p_partkey")).scalar()
+    new = parts.select(k.alias("id")).select(
+        "id", F.expr("id div 2").alias("a"),
+        F.when(F.col("id") % 8 < 7, F.expr("(id + 1) div 2")).alias("b"))
+    return insert_ignore(new.limit(0), new, ["a"], ["b"], order=["id"])
+
+
 @query("""
 SELECT l_suppkey AS list, l_partkey AS member FROM lineitem
 UNION ALL

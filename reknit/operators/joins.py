@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reknit.session import BROADCAST_BYTES, broadcast_if_small, materialize, measure
+
 Pair = tuple[Column | str, Column | str]
 
 
@@ -156,13 +158,30 @@ def update_from(target: DataFrame, source: DataFrame, on, values: dict[str, Colu
     return joined.select(*columns)
 
 
-def lookup(df: DataFrame, dimension: DataFrame, on, value: str, out: str) -> DataFrame:
-    """Add ``out``: the id found in a dimension, NULL where none; the smallest if several."""
+def measured(side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A joined side, written once: broadcast when it turns out small, else shuffled on its own.
+
+    Estimates after an aggregation or a join are too high for a static broadcast, and a switch
+    at run time comes after the other side has been shuffled.
+    """
+    side = materialize(side, "side")
+    size = measure(side)
+    return broadcast_if_small(side, size) if size <= BROADCAST_BYTES else own_shuffle(side, keys)
+
+
+def lookup(df: DataFrame, dimension: DataFrame, on, value: str, out: str,
+           measure_first: bool = False) -> DataFrame:
+    """Add ``out``: the id found in a dimension, NULL where none; the smallest if several.
+
+    ``measure_first`` writes the reduced dimension and broadcasts it if it is small, which
+    spares a large table one shuffle per lookup.
+    """
     pairs = _pairs(on)
     keys = [f"__key{i}" for i in range(len(pairs))]
     side = dimension.select(*[_col(b).alias(key) for key, (_, b) in zip(keys, pairs)],
                             F.col(value).alias("__value"))
-    side = own_shuffle(side.groupBy(*keys).agg(F.min("__value").alias("__value")), keys)
+    side = side.groupBy(*keys).agg(F.min("__value").alias("__value"))
+    side = measured(side, keys) if measure_first else own_shuffle(side, keys)
     keyed = df.select("*", *[_col(a).alias(key) for key, (a, _) in zip(keys, pairs)])
     return keyed.join(side, keys, "left").withColumn(out, F.col("__value")).drop("__value", *keys)
 
@@ -184,10 +203,11 @@ def translate_ids(children: DataFrame, parents: DataFrame, targets: DataFrame, p
                   natural_key: str) -> DataFrame:
     """Re-point children from source parents to target parents through a shared natural key.
 
-    Children whose parent has no counterpart are dropped.
+    Children whose parent has no counterpart are dropped. The bridge between the parents is
+    written and measured, so that the children are not shuffled to meet a small one.
     """
     bridge = parents.select(F.col(parent_id).alias("__source"), natural_key).join(
         targets.select(F.col(parent_id).alias("__target"), natural_key), natural_key)
-    return (children.join(bridge.select("__source", "__target"),
-                          F.col(parent_id) == F.col("__source"))
+    bridge = measured(bridge.select("__source", "__target"), ["__source"])
+    return (children.join(bridge, F.col(parent_id) == F.col("__source"))
             .withColumn(parent_id, F.col("__target")).drop("__source", "__target"))

@@ -21,6 +21,14 @@ def check_unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .filter("n > 1"))
 
 
+def require_unique(df: DataFrame, columns: Sequence[str]) -> None:
+    """Raise where a key repeats, as a constraint of the target would."""
+    repeated = check_unique(df, columns).take(5)
+    if repeated:
+        raise ValueError(f"{', '.join(columns)} repeat: " + ", ".join(
+            f"{tuple(row)[:-1]} {row.n} times" for row in repeated))
+
+
 def count_actions(df: DataFrame, column: str = ACTION) -> DataFrame:
     """Rows per last action."""
     return df.groupBy(column).agg(F.count("*").alias("total"))

@@ -43,7 +43,7 @@ def resolve(rows: DataFrame, snapshot: Snapshot, references: Sequence[Reference]
 
 
 def unresolved(rows: DataFrame, snapshot: Snapshot, references: Sequence[Reference]) -> DataFrame:
-    """The rows with a name that no row of the referenced table bears."""
+    """The rows with a name that no row of the referenced table bears; NULL counts as one."""
     resolved = resolve(rows, snapshot, references)
     lost = F.lit(False)
     for reference in references:
@@ -51,11 +51,30 @@ def unresolved(rows: DataFrame, snapshot: Snapshot, references: Sequence[Referen
     return resolved.filter(lost)
 
 
-def seed_metadata(snapshot: Snapshot, seeds: Sequence[Seed]) -> Snapshot:
-    """Add seed rows table by table; later seeds may refer to rows added by earlier ones."""
+def require_resolved(rows: DataFrame, snapshot: Snapshot, references: Sequence[Reference],
+                     table: str) -> None:
+    """Raise where a name that is given is borne by no row of the referenced table."""
+    resolved = resolve(rows, snapshot, references)
+    for reference in references:
+        given = F.lit(True)
+        for named, _ in reference.on:
+            named = F.col(named) if isinstance(named, str) else named
+            given = given & named.isNotNull()
+        lost = resolved.filter(given & F.col(reference.out).isNull()).take(3)
+        if lost:
+            raise ValueError(f"{table}: no {reference.out} for " + "; ".join(map(str, lost)))
+
+
+def seed_metadata(snapshot: Snapshot, seeds: Sequence[Seed], strict: bool = False) -> Snapshot:
+    """Add seed rows table by table; later seeds may refer to rows added by earlier ones.
+
+    A name that is not found gives NULL, or with ``strict`` is an error.
+    """
     snapshot = dict(snapshot)
     for seed in seeds:
         target = snapshot[seed.table]
+        if strict:
+            require_resolved(seed.rows, snapshot, seed.references, seed.table)
         rows = resolve(seed.rows, snapshot, seed.references)
         rows = rows.select(*[name for name in target.columns if name in rows.columns])
         if seed.id is not None:

@@ -53,7 +53,7 @@ def insert_children(target: DataFrame, children: DataFrame, source_parents: Data
     """
     new = translate_ids(children, source_parents, target_parents, parent_id, natural_key)
     for dimension, on, value, out in lookups:
-        new = lookup(new, dimension, on, value, out)
+        new = lookup(new, dimension, on, value, out, measure_first=True)
     return _insert(target, new, id, order, gap, unique)
 
 
@@ -99,7 +99,13 @@ def _first_of_keys(new: DataFrame, keys: list[list[str]], order: list[str]) -> D
     """The rows a row-by-row insert would accept.
 
     Each round accepts the rows that come first under all their keys and drops the rows these
-    shut out; the rows between wait for the next round.
+    shut out; the rows between wait for the next round. Rounds are spread, one written table
+    each, but their number is that of the longest run of rows in which each waits for the one
+    before: whether a row goes in is known only when that of every earlier conflicting row is,
+    and with several keys no shortcut through such a run is known (it is the first maximal
+    independent set in a stated order, a problem that is complete for sequential time). Rows
+    that conflict in small groups, as those of re-imported files do, take a few rounds whatever
+    their number.
     """
     names = new.columns
     # Identical rows that have a key conflict, so one of them is enough; others stay as counted.
@@ -115,12 +121,14 @@ def _first_of_keys(new: DataFrame, keys: list[list[str]], order: list[str]) -> D
         wins = reduce(lambda a, b: a & b, [
             F.col(f"__first{i}").isNull() | (F.col(f"__first{i}") == F.col("__rank"))
             for i in range(len(keys))])
-        won = materialize(rows.filter(wins).select(*names, "__copies", "__rank"), "accepted")
+        judged = materialize(rows.select(*names, "__copies", "__rank", wins.alias("__won")),
+                             "judged")
+        won = judged.filter("__won").drop("__won")
         accepted.append(won)
-        rest = pending.join(won.select("__rank"), "__rank", "left_anti")
+        pending = judged.filter("NOT __won").drop("__won")
         for key in keys:
-            rest = keep_absent(rest, won, key)
-        pending = materialize(rest, "pending")
+            # Of the rows that went in, none shares a key with another.
+            pending = keep_absent(pending, won, key, unique=True)
     if not accepted:
         return new.limit(0)
     chosen = reduce(DataFrame.unionByName, accepted)

@@ -64,11 +64,13 @@ def relabel_modules(modules: DataFrame, texts: Mapping[str, Mapping[str, object]
     return modules
 
 
-def seed_datasets(snapshot: Snapshot, rows: Mapping[str, DataFrame]) -> Snapshot:
+def seed_datasets(snapshot: Snapshot, rows: Mapping[str, DataFrame], strict: bool = True
+                  ) -> Snapshot:
     """Add the rows, given with codes, names and UUIDs instead of ids.
 
     ``rows`` may have: frameworks, framework_actors, framework_objectives,
-    framework_sections, datasets, dataset_actors, dataset_modules.
+    framework_sections, datasets, dataset_actors, dataset_modules. A name that is given and
+    not found is an error, unless ``strict`` is off: then its id is NULL.
     """
     steps = (
         ("frameworks", FRAMEWORKS, nomenclature(FRAMEWORK_CODES), "id_acquisition_framework"),
@@ -85,4 +87,4 @@ def seed_datasets(snapshot: Snapshot, rows: Mapping[str, DataFrame]) -> Snapshot
     )
     return seed_metadata(snapshot, [
         Seed(table, rows[name], references, id)
-        for name, table, references, id in steps if name in rows])
+        for name, table, references, id in steps if name in rows], strict)

@@ -3,12 +3,13 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from reknit.operators.quality import check_unique
 from reknit.plans import (
     enrich_zones, habitat_stations, merge_entities, migrate_users, reconcile_partner,
     seed_datasets, taxon_lists)
-from reknit.plans.migrate_users import Texts
+from reknit.plans.migrate_users import Rights, Texts
 from reknit.sources.publish import publish, published_versions, read_published
 from reknit.sources.requests import merge_requests
 from reknit.sources.tables import read_diff_csv, read_import_batch, read_tables
@@ -132,8 +133,18 @@ def test_migrate_users(spark, frame, rows):
         remark="Imported.", list_row=(1, "L", "List", "A list."),
         group_names={10000: ("Users", "group_users", "May write.")},
         applications=[(1, "UH", "Hub", ""), (2, "TH", "Taxa", ""), (3, "GN", "Nature", "")],
+        admin_group=(10, "group_admin", "Administrators", "All rights."),
         admins=[5], organism_names={2: "BETA PARK"}, url_in_email=[1])
-    done = migrate_users.migrate_users(spark, snapshot, source, texts)
+    rights = Rights(
+        group_profiles=[(10, "UH", 6), (10, "TH", 6), (10, "GN", 6), (10000, "GN", 2)],
+        profiles=[(6, "UH"), (1, "GN")],
+        scopes=[(10, 1, 4, 0, None, 1), *[(10000, action, scope, None, "SFT", 1) for action, scope
+                                          in enumerate((4, 4, 3, 1, 4, 2), start=1)]])
+    done = migrate_users.migrate_users(spark, snapshot, source, texts, rights)
+    doubled = {**source, "t_roles": source["t_roles"].unionByName(
+        source["t_roles"].filter("id_role = 5").withColumn("id_role", F.lit(6).cast("long")))}
+    with pytest.raises(ValueError, match="email repeat"):
+        migrate_users.migrate_users(spark, snapshot, doubled, texts, rights)
 
     assert rows(done[migrate_users.ORGANISMS], "id_organisme", "nom_organisme", "ville_organisme",
                 "tel_organisme", "fax_organisme", "email_organisme", "url_organisme") == [
@@ -142,7 +153,7 @@ def test_migrate_users(spark, frame, rows):
         (2, "BETA PARK", None, None, None, "b@example.org", None)]
     roles = done[migrate_users.ROLES]
     assert rows(roles, "id_role", "nom_role", "prenom_role", "pass", "remarques") == sorted([
-        (10, "Tous les administrateurs", None, None, "Groupe avec tous les droits."),
+        (10, "Administrators", None, None, "All rights."),
         (5, "ROY", "Zoé", "secret", "Imported."), (6, "BLANC", None, None, "Imported."),
         (10000, "Users", None, None, "Imported."),
         (10001, "OBSERVERS", None, None, "Imported.")], key=repr)
@@ -155,7 +166,7 @@ def test_migrate_users(spark, frame, rows):
     assert rows(done[migrate_users.APPLICATION_ROLES]) == [
         (10, 1, 6), (10, 2, 6), (10, 3, 6), (10000, 3, 2)]
     rights = done[migrate_users.RIGHTS]
-    assert rights.count() == 54
+    assert rights.count() == 7
     assert rows(rights.filter("id_module = 42"), "id_action", "id_filter") == [
         (1, 4), (2, 4), (3, 3), (4, 1), (5, 4), (6, 2)]
     assert done["gn_synthese.cor_area_synthese"].count() == 0
@@ -185,7 +196,7 @@ def test_seed_datasets(frame, rows):
         "gn_commons.cor_module_dataset": frame("id_module long, id_dataset long"),
     }
     codes = ", ".join(f"{name}_code string" for name in seed_datasets.DATASET_CODES)
-    done = seed_datasets.seed_datasets(snapshot, {
+    seeds = {
         "frameworks": frame(
             "unique_acquisition_framework_id string, acquisition_framework_name string, "
             "id_nomenclature_territorial_level_code string, "
@@ -197,7 +208,10 @@ def test_seed_datasets(frame, rows):
             "dataset_uuid string, organism_name string, id_nomenclature_actor_role_code string",
             ("d1", "Alpha", "1"), ("d2", "Renamed", "1")),
         "dataset_modules": frame("module_code string, dataset_uuid string", ("SFT", "d1")),
-    })
+    }
+    with pytest.raises(ValueError, match="no id_acquisition_framework for"):
+        seed_datasets.seed_datasets(snapshot, seeds)
+    done = seed_datasets.seed_datasets(snapshot, seeds, strict=False)
     assert rows(done[seed_datasets.FRAMEWORKS].filter("id_acquisition_framework > 6")) == [
         (7, "f1", "Surveys", 1, 2)]
     assert rows(done[seed_datasets.DATASETS], "id_dataset", "id_acquisition_framework",

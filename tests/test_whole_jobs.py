@@ -120,3 +120,33 @@ def test_nested_values_are_measured(frame, spark):
     assert measure(long.select("a")) > 10_000
     assert measure(long.select("d")) == 16 and measure(long.select("v")) > 500
     assert measure(long.limit(0)) == 0
+
+
+def test_children_are_not_shuffled_for_small_dimensions(spark, frame, rows):
+    from reknit.operators.upsert import insert_children
+
+    children = frame("parent long, a string, b string, c string", (1, "x", "y", "x"),
+                     (2, "y", None, "q"))
+    ours = frame("parent long, uuid string", (1, "u"), (2, "v"))
+    theirs = frame("parent long, uuid string", (10, "u"), (20, "v"))
+    codes = frame("code string, kind string, id long", ("x", "k", 7), ("y", "k", 8), ("x", "o", 9))
+    target = frame("parent long, a string, id_a long, id_b long, id_c long")
+    done = insert_children(
+        target, children, ours, theirs, "parent", "uuid",
+        [(codes, [(F.lit("k"), "kind"), (name, "code")], "id", f"id_{name}") for name in "abc"])
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert rows(done) == sorted([(10, "x", 7, 8, 7), (20, "y", 8, None, None)], key=repr)
+
+
+def test_names_that_are_not_found_are_an_error(frame):
+    from reknit.operators.seed import Reference, Seed, seed_metadata
+
+    snapshot = {"t": frame("name string, org_id long"), "orgs": frame("id long, org string", (1, "A"))}
+    seed = Seed("t", frame("name string, org string", ("n", "A"), ("m", None), ("o", "B")),
+                [Reference("org_id", "orgs", [("org", "org")], "id")])
+    assert seed_metadata(snapshot, [seed])["t"].count() == 3
+    with pytest.raises(ValueError, match="no org_id for"):
+        seed_metadata(snapshot, [seed], strict=True)
+    known = Seed("t", seed.rows.filter("name <> 'o'"), seed.references)
+    assert seed_metadata(snapshot, [known], strict=True)["t"].count() == 2
