@@ -7,7 +7,7 @@ template. A file that is a licence as a whole, or is named like one, speaks for
 and a file without a notice of its own takes the licence of its nearest ancestor directory.
 
 Inheritance joins distinct directories, not files, with their ancestors; each join has one row
-per key on its other side.
+per key on its other side, which is broadcast where it measures small.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reknit.operators.joins import measured
 from reknit.session import materialize
 
 # Licences by their SPDX identifiers, with the notices that name them.
@@ -203,6 +204,8 @@ def scan_licences(files: DataFrame, id: str = "doc_id", path: str = "path", text
     inherited = (lines.select("folder", "line.depth", F.col("line.above").alias("above"))
                  .join(speaking.withColumnRenamed("folder", "above"), "above")
                  .groupBy("folder").agg(F.max(F.struct("depth", "above", "best")).alias("nearest")))
+    # One row per folder that inherits: where these are few, no file is shuffled to its folder.
+    inherited = measured(inherited, ["folder"])
     own = F.col("licence").isNotNull()
     near = F.col("nearest.best")
     return found.join(inherited, "folder", "left").select(
