@@ -103,31 +103,29 @@ def _in_order_of_arrival(olds: DataFrame) -> DataFrame:
     def arc(id, down: bool):
         return F.struct(F.col(id).alias("id"), F.lit(down).alias("down"))
 
-    # weight: ways down from here to before ``next``, or to the end of the tree's list.
+    # weight: ways down from here to before ``next``, or to the end of the tree's list, where
+    # the last way up knows the survivor.
     down = tree.select(arc("id", True).alias("arc"),
                        F.when(F.col("child").isNotNull(), arc("child", True))
-                       .otherwise(arc("id", False)).alias("next"), F.lit(1).alias("weight"))
-    up = tree.select(arc("id", False).alias("arc"),
-                     F.when(F.col("sibling").isNotNull(), arc("sibling", True))
-                     .when(F.col("inner"), arc("survivor", False)).alias("next"),
-                     F.lit(0).alias("weight"))
-    arcs = materialize(down.unionByName(up).withColumn("weight", F.col("weight").cast("long")),
-                       "arcs")
-    ways = olds.select("id", "survivor")
-    open_arcs = True
-    while open_arcs:
+                       .otherwise(arc("id", False)).alias("next"),
+                       F.lit(1).cast("long").alias("weight"), F.lit(None).cast("long").alias("top"))
+    after_up = F.when(F.col("sibling").isNotNull(), arc("sibling", True)).when(
+        F.col("inner"), arc("survivor", False))
+    up = tree.select(arc("id", False).alias("arc"), after_up.alias("next"),
+                     F.lit(0).cast("long").alias("weight"),
+                     F.when(after_up.isNull(), F.col("survivor")).alias("top"))
+    arcs = materialize(down.unionByName(up), "arcs")
+    while not arcs.filter("next IS NOT NULL").isEmpty():
         onward = arcs.select(F.col("arc").alias("next"), F.col("next").alias("later"),
-                             F.col("weight").alias("more"))
+                             F.col("weight").alias("more"), F.col("top").alias("found"))
         arcs = materialize(arcs.join(own_shuffle(onward, ["next"]), "next", "left").select(
             "arc", F.col("later").alias("next"),
-            (F.col("weight") + F.coalesce("more", F.lit(0))).alias("weight")), "arcs")
-        onward = ways.select(F.col("id").alias("survivor"), F.col("survivor").alias("further"))
-        ways = materialize(ways.join(own_shuffle(onward, ["survivor"]), "survivor", "left").select(
-            "id", F.coalesce("further", "survivor").alias("survivor")), "ways")
-        open_arcs = not arcs.filter("next IS NOT NULL").isEmpty()
+            (F.col("weight") + F.coalesce("more", F.lit(0))).alias("weight"),
+            F.coalesce("top", "found").alias("top")), "arcs")
     # Of one survivor's ids, the earlier ones have more ways down before the list ends.
-    weights = arcs.filter("arc.down").select(F.col("arc.id").alias("id"), "weight")
-    return ways.join(weights, "id").select("id", "survivor", (LAST - F.col("weight")).alias("prio"))
+    return arcs.filter("arc.down").select(
+        F.col("arc.id").alias("id"), F.col("top").alias("survivor"),
+        (LAST - F.col("weight")).alias("prio"))
 
 
 def resolve_requests(requests: DataFrame) -> KeyMap:
