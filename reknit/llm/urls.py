@@ -3,18 +3,19 @@
 Numbers in a path are wildcards from the start, so that a host's paths become few shapes. The
 tree is then grown level by level over these shapes: below a node a segment that holds too
 small a share of the node's pages becomes a wildcard, and the segments that stay are merged
-with siblings whose labelled share of bad pages is statistically the same. At the leaves the
-share of bad labels, smoothed towards the host's and that towards the whole table's, decides.
+with siblings whose labelled share of bad pages is statistically the same, each compared with
+the whole branch that it would join; those without labels stay apart from labelled ones. At the
+leaves the share of bad labels, smoothed towards the host's and that towards the whole table's, decides.
 
 All of it is aggregation and joins with one row per key; what a hot host costs is counted
-map-side. The only window orders the kept siblings of a node, at most 1 / ``LEAST_SHARE``.
+map-side. Only the kept siblings of a node, at most 1 / ``LEAST_SHARE``, come together in a cell.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reknit.session import materialize
@@ -63,6 +64,50 @@ def shape_of(path: Column) -> Column:
         F.array(F.array_join(F.slice(segments, DEPTH, 2**31 - 1), "/"))))
 
 
+def _branches(kept: DataFrame) -> DataFrame:
+    """(host, template, segment) with the number of its ``branch`` among its siblings.
+
+    Labelled siblings join the branch of those with smaller shares unless theirs is apart from
+    that of the branch as a whole or of any sibling in it: unless it is, less its own half of
+    the bound, above the least upper end of these. Siblings without labels say nothing about
+    others, and are a branch by themselves.
+    """
+    share = (F.col("bad") + 1) / (F.col("labelled") + 2)
+    siblings = kept.groupBy("host", "template").agg(F.array_sort(F.collect_list(F.struct(
+        share.alias("share"), "segment", F.col("bad").cast("long").alias("bad"),
+        F.col("labelled").cast("long").alias("labelled")))).alias("siblings"))
+
+    def width(labelled: Column) -> Column:
+        return F.try_divide(F.lit(SAME**0.5), F.sqrt(labelled))
+
+    def state(branch: Column, bad: Column, labelled: Column, end: Column,
+              placed: Column) -> Column:
+        return F.struct(branch.alias("branch"), bad.alias("bad"), labelled.alias("labelled"),
+                        end.alias("end"), placed.alias("placed"))
+
+    def place(so_far: Column, one: Column) -> Column:
+        half = width(one["labelled"])
+        pooled = (so_far["bad"] + 1) / (so_far["labelled"] + 2) + width(so_far["labelled"])
+        apart = F.coalesce(one["share"] - half > F.least(so_far["end"], pooled), F.lit(False))
+        branch = so_far["branch"] + apart.cast("int")
+        placed = F.concat(so_far["placed"], F.array(F.struct(
+            one["segment"].alias("segment"), branch.alias("branch"))))
+        alone, end = one["labelled"] == 0, one["share"] + half
+        joined = F.when(apart, state(branch, one["bad"], one["labelled"], end, placed)).otherwise(
+            state(branch, so_far["bad"] + one["bad"], so_far["labelled"] + one["labelled"],
+                  F.least(so_far["end"], end), placed))
+        return F.when(alone, state(
+            so_far["branch"], so_far["bad"], so_far["labelled"], so_far["end"],
+            F.concat(so_far["placed"], F.array(F.struct(
+                one["segment"].alias("segment"), F.lit(-1).alias("branch")))))).otherwise(joined)
+
+    start = state(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"),
+                  F.lit(None).cast("double"),
+                  F.lit([]).cast("array<struct<segment:string,branch:int>>"))
+    return siblings.select("host", "template", F.inline(
+        F.aggregate("siblings", start, place)["placed"]))
+
+
 def _decided(nodes: DataFrame) -> DataFrame:
     """What becomes of each segment below a node: (host, template, segment) and ``label``."""
     segments = nodes.groupBy("host", "template", "segment").agg(
@@ -70,14 +115,7 @@ def _decided(nodes: DataFrame) -> DataFrame:
     totals = segments.groupBy("host", "template").agg(F.sum("pages").alias("total"))
     sized = segments.join(totals, ["host", "template"])
     stays = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("total"))
-    kept = sized.filter(stays).withColumn("share", (F.col("bad") + 1) / (F.col("labelled") + 2))
-    siblings = Window.partitionBy("host", "template").orderBy("share", "segment")
-    width = F.try_divide(F.lit(1.0), F.sqrt("labelled"))
-    bound = SAME**0.5 * (width + F.lag(width).over(siblings))
-    # Siblings without labels are like any other: their bound is NULL.
-    apart = F.coalesce((F.col("share") - F.lag("share").over(siblings) > bound).cast("int"),
-                       F.lit(0))
-    kept = kept.withColumn("apart", apart).withColumn("branch", F.sum("apart").over(siblings))
+    kept = _branches(sized.filter(stays))
     names = kept.groupBy("host", "template", "branch").agg(
         F.array_join(F.array_sort(F.collect_list("segment")), "|").alias("label"))
     kept = kept.join(names, ["host", "template", "branch"]).select(

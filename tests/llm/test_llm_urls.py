@@ -132,3 +132,33 @@ def test_empty_tables(spark):
     told = spark.createDataFrame([], "host string, path string, bad int")
     assert [r.verdict for r in urls.filter_urls(table, told, URL_RULES).collect()] == ["allow"]
     assert urls.filter_urls(table.limit(0), told, URL_RULES).count() == 0
+
+
+def verdicts(spark, pages, labels):
+    """Verdicts by path, and templates by path, of a host's (path, pages) and (path, bad, good)."""
+    table = spark.createDataFrame(pages, "path string, n int").selectExpr(
+        "concat('http://one.example.edu', path) AS url", "explode(sequence(1, n)) AS page_id")
+    told = spark.createDataFrame(labels, "path string, b int, g int").selectExpr(
+        "'one.example.edu' AS host", "path",
+        "explode(concat(array_repeat(1, b), array_repeat(0, g))) AS bad")
+    found = urls.filter_urls(table, told, []).select("path", "verdict", "template").distinct()
+    rows = found.collect()
+    assert len(rows) == len(pages)
+    return {r.path: r.verdict for r in rows}, {r.path: r.template for r in rows}
+
+
+def test_siblings_without_labels_are_no_bridge(spark):
+    pages = [("/good", 50), ("/new", 50), ("/spam", 50)]
+    found, names = verdicts(spark, pages, [("/good", 0, 1000), ("/spam", 1000, 0)])
+    assert found == {"/good": "allow", "/new": "allow", "/spam": "block"}
+    assert names == {path: path for path, _ in pages}
+    found, _ = verdicts(spark, pages, [("/good", 0, 1000), ("/spam", 1100, 0)])
+    assert (found["/good"], found["/spam"]) == ("allow", "block")
+
+
+def test_siblings_do_not_chain(spark):
+    pages = [(f"/{chr(97 + k)}", 10) for k in range(21)]
+    found, names = verdicts(spark, pages, [
+        (path, 2 * k, 40 - 2 * k) for k, (path, _) in enumerate(pages)])
+    assert found["/a"] == "allow" and found["/u"] == "block"
+    assert names["/a"] != names["/k"] != names["/u"]
