@@ -2,13 +2,15 @@
 
 Numbers in a path are wildcards from the start, so that a host's paths become few shapes. The
 tree is then grown level by level over these shapes: below a node a segment that holds too
-small a share of the node's pages becomes a wildcard, and the segments that stay are merged
-with siblings whose labelled share of bad pages is statistically the same, each compared with
+small a share of the node's pages becomes a wildcard, unless its own labels tell it from the
+rest of the node or tell its verdict; such ones of about the same share count as one, named by
+a number (shapes hold none). The segments that stay are merged with siblings whose labelled share of bad pages is statistically the same, each compared with
 the whole branch that it would join; those without labels stay apart from labelled ones. At the
 leaves the share of bad labels, smoothed towards the host's and that towards the whole table's, decides.
 
 All of it is aggregation and joins with one row per key; what a hot host costs is counted
-map-side. Only the kept siblings of a node, at most 1 / ``LEAST_SHARE``, come together in a cell.
+map-side. Only the kept siblings of a node, at most
+1 / ``LEAST_SHARE`` and ``FOLDS`` + 1, come together in a cell.
 """
 
 from __future__ import annotations
@@ -22,6 +24,9 @@ from reknit.session import materialize
 
 # A segment stays as it is with at least this share of its node's pages, and so many of them.
 LEAST_SHARE, LEAST_PAGES = 0.02, 5
+# Smaller segments that stay for their labels are folded by so many steps of their share. A step
+# ends at MOST_BAD, so that no two on different sides of it are folded.
+FOLDS = 64
 # Levels of the tree; what a path holds beyond them is one last segment.
 DEPTH = 8
 # Pages' worth of the level above that smooth a share of bad labels.
@@ -108,20 +113,42 @@ def _branches(kept: DataFrame) -> DataFrame:
         F.aggregate("siblings", start, place)["placed"]))
 
 
+def _telling() -> Column:
+    """Has a segment a labelled share apart from the rest of its node's or from MOST_BAD."""
+    bad, labelled = F.col("bad"), F.col("labelled")
+    rest_bad, rest = F.col("all_bad") - bad, F.col("all_labelled") - labelled
+    share = (bad + 1) / (labelled + 2)
+    half = F.try_divide(F.lit(SAME**0.5), F.sqrt(labelled))
+    from_rest = F.abs(share - (rest_bad + 1) / (rest + 2)) > half + F.try_divide(
+        F.lit(SAME**0.5), F.sqrt(rest))
+    return F.coalesce(from_rest, F.lit(False)) | F.coalesce(
+        F.abs(share - MOST_BAD) > half, F.lit(False))
+
+
 def _decided(nodes: DataFrame) -> DataFrame:
     """What becomes of each segment below a node: (host, template, segment) and ``label``."""
     segments = nodes.groupBy("host", "template", "segment").agg(
         *(F.sum(name).alias(name) for name in ("pages", "bad", "labelled")))
-    totals = segments.groupBy("host", "template").agg(F.sum("pages").alias("total"))
+    totals = segments.groupBy("host", "template").agg(
+        F.sum("pages").alias("total"), F.sum("bad").alias("all_bad"),
+        F.sum("labelled").alias("all_labelled"))
     sized = segments.join(totals, ["host", "template"])
-    stays = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("total"))
-    kept = _branches(sized.filter(stays))
+    large = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("total"))
+    # A smaller segment stays where its labels alone say that it isn't like the rest of its node,
+    # or on which side of the verdict it lies; those of about the same share stay as one.
+    told = F.when(~large & _telling(), F.concat(F.lit("*"), F.ceil(
+        FOLDS * F.col("bad") / F.col("labelled")).cast("string")))
+    sized = sized.withColumn("part", F.when(large, F.col("segment")).otherwise(told))
+    parts = sized.filter("part IS NOT NULL").groupBy("host", "template", "part").agg(
+        F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
+    kept = _branches(parts.withColumnRenamed("part", "segment"))
     names = kept.groupBy("host", "template", "branch").agg(
         F.array_join(F.array_sort(F.collect_list("segment")), "|").alias("label"))
-    kept = kept.join(names, ["host", "template", "branch"]).select(
-        "host", "template", "segment", "label")
-    return kept.unionByName(sized.filter(~stays).select(
-        "host", "template", "segment", F.lit("*").alias("label")))
+    named = kept.join(names, ["host", "template", "branch"]).select(
+        "host", "template", F.col("segment").alias("part"), "label")
+    return (sized.select("host", "template", "segment", "part")
+            .join(named, ["host", "template", "part"], "left")
+            .select("host", "template", "segment", F.coalesce("label", F.lit("*")).alias("label")))
 
 
 def template_tree(shapes: DataFrame) -> DataFrame:

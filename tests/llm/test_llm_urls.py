@@ -162,3 +162,21 @@ def test_siblings_do_not_chain(spark):
         (path, 2 * k, 40 - 2 * k) for k, (path, _) in enumerate(pages)])
     assert found["/a"] == "allow" and found["/u"] == "block"
     assert names["/a"] != names["/k"] != names["/u"]
+
+
+def test_labels_keep_small_branches(spark):
+    # A branch of 1 % of the pages, and one that is small beside another with most of the labels.
+    pages = [("/good", 3000), ("/spam", 40), ("/ads", 40), ("/rare", 3), ("/few", 30)]
+    found, names = verdicts(spark, pages, [
+        ("/good", 0, 500), ("/spam", 2000, 0), ("/ads", 40, 0), ("/rare", 0, 1), ("/few", 1, 0)])
+    assert (found["/good"], found["/spam"], found["/ads"]) == ("allow", "block", "block")
+    assert names["/rare"] == names["/few"] == "/*"
+
+
+def test_many_equal_sections_are_judged_by_their_labels(spark):
+    names = [f"/{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    bad = set(names[::9])
+    found, templates = verdicts(spark, [(name, 6) for name in names], [
+        (name, 30, 0) if name in bad else (name, 0, 30) for name in names])
+    assert {name for name, verdict in found.items() if verdict == "block"} == bad
+    assert len(set(templates.values())) == 2
