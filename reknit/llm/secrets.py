@@ -5,7 +5,10 @@ kind. From a bounded sample of them a prefix tree is built, whose statistically
 states are merged into a probabilistic automaton (ALERGIA: Hoeffding bounds, red and blue
 states). Every other token that could be a credential, wherever it stands, is then scored by
 its likelihood under each automaton against characters drawn evenly, and becomes a span of kind
-``format`` where it scores nearly as well as held-out credentials do.
+``format`` where it scores nearly as well as held-out credentials do. Tokens are what lies
+between base spans in a run of credential characters, and the pieces of it from any separator
+to any other; how short they may be, and whether they need digits and letters, is what the
+credentials show.
 """
 
 from __future__ import annotations
@@ -32,8 +35,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST = 6
 
-# What could be a credential of another place: a long run with a digit and a letter in it.
+# What could be a credential of another place. A run as a whole with a digit and a letter in it
+# is scored from this length on, whatever the credentials show.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+DIGIT_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*+")
+SEPARATOR = re.compile(r"[+/_=-]")
+LONG = 16
 DIGIT, LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 
 # The sample that automata are inferred from: credentials per kind, and the longest one taken.
@@ -84,6 +92,33 @@ class Automaton:
     ends: list[int]
     steps: list[dict[str, tuple[int, int]]]
     threshold: float = 0.0
+    least: int = LONG
+    digit: bool = True
+    letter: bool = True
+
+    def reach(self, text: str, start: int, stops: list[int]) -> int | None:
+        """The last stop up to which a string of symbols from ``start`` scores well enough.
+
+        Only strings count whose symbols all have steps: an unknown one ends the search.
+        """
+        state, total, place, best = 0, 0.0, start, None
+        for stop in stops:
+            while place < stop:
+                step = self.steps[state].get(text[place])
+                if step is None:
+                    return best
+                total += EVEN - math.log2(CLASS_SIZES.get(text[place], 1)) + math.log2(
+                    (step[1] + 0.5) / (self.counts[state] + 6))
+                state = step[0]
+                place += 1
+            n = stop - start
+            if n < self.least or (self.digit and text.find("d", start, stop) < 0) or (
+                    self.letter and not any(text.find(c, start, stop) >= 0 for c in "agAG")):
+                continue
+            ended = math.log2((self.ends[state] + 0.5) / (self.counts[state] + 6))
+            if total + ended + math.log2(n + 1) >= self.threshold * n:
+                best = stop
+        return best
 
     def score(self, value: str) -> float:
         """Log odds per character against characters drawn evenly."""
@@ -219,24 +254,62 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> list[Autom
         automaton = infer([v for k, v in enumerate(values) if k % 5])
         scores = sorted(automaton.score(v) for v in values[::5])
         automaton.threshold = max(LEAST_ODDS, PART * scores[int(MISSED * len(scores))])
+        automaton.least = min(LONG, min(map(len, values)))
+        most = (1 - MISSED) * len(values)
+        automaton.digit = sum(bool(DIGIT.search(v)) for v in values) >= most
+        automaton.letter = sum(bool(LETTER.search(v)) for v in values) >= most
         automata.append(automaton)
     return automata
 
 
+def _formats(text: str, start: int, end: int,
+             automata: list[Automaton]) -> list[tuple[int, int, int, str]]:
+    """The spans in a stretch of credential characters: all of it, or pieces between separators.
+
+    A piece is the longest from its start that scores well enough; those of several pieces
+    between separators are as long as labelled credentials at most.
+    """
+    least = min(a.least for a in automata)
+    if end - start < least:
+        return []
+    value = text[start:end]
+    if len(value) >= LONG and DIGIT.search(value) and LETTER.search(value) and any(
+            automaton.score(value) >= automaton.threshold for automaton in automata):
+        return [(start, end, 3, value)]
+    found, done, word = [], 0, symbols(value)
+    stops = [match.start() for match in SEPARATOR.finditer(value)] + [len(value)]
+    for k, stop in enumerate(stops):
+        begin = stops[k - 1] + 1 if k else 0
+        if begin < done or begin == stop:
+            continue
+        ends, after = [stop], k + 1
+        while after < len(stops) and stops[after] - begin <= LONGEST:
+            ends.append(stops[after])
+            after += 1
+        if ends[-1] - begin < least:
+            continue
+        best = max((a.reach(word, begin, ends) or 0 for a in automata), default=0)
+        if best:
+            found.append((start + begin, start + best, 3, value[begin:best]))
+            done = best
+    return found
+
+
 def all_spans(text: str, automata: list[Automaton]) -> list[tuple[int, int, int, str]]:
     """Base spans and those that the automata add, by start, then kind; added ones meet no other."""
     found = base_spans(text)
     if not automata:
         return found
-    added = []
-    for match in CANDIDATE.finditer(text):
-        value = match[0]
-        if not (DIGIT.search(value) and LETTER.search(value)):
-            continue
-        if any(start < match.end() and match.start() < end for start, end, _, _ in found):
-            continue
-        if any(automaton.score(value) >= automaton.threshold for automaton in automata):
-            added.append((match.start(), match.end(), 3, value))
+    added, done, base = [], 0, 0
+    for run in (DIGIT_RUN if all(a.digit for a in automata) else RUN).finditer(text):
+        # What base spans leave of the run; they come by their start.
+        place = max(run.start(), done)
+        while base < len(found) and found[base][0] < run.end():
+            start, end, _, _ = found[base]
+            added.extend(_formats(text, place, start, automata))
+            place, base = max(place, end), base + 1
+        added.extend(_formats(text, place, run.end(), automata))
+        done = max(done, place)
     return sorted(found + added)
 
 

@@ -97,3 +97,33 @@ def test_without_credentials_or_rows(spark):
     assert secrets.fit(docs) == []
     assert secrets.find(docs, []).count() == 0
     assert secrets.redact(docs, []).columns == docs.columns
+
+
+def test_formats_inside_runs_and_beside_spans():
+    draw = random.Random(7)
+    keys = [hex_of(draw, draw.choice((12, 22))) for _ in range(400)]
+    automaton = secrets.infer(keys)
+    automaton.threshold = 0.8 * min(automaton.score(key) for key in keys)
+    automaton.least = 12
+    key, short, base = hex_of(draw, 22), "3f9a0c77b1e2", hex_of(draw, 30)
+
+    def found(text):
+        spans = secrets.all_spans(text, [automaton])
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]) if a[2] == 3 or b[2] == 3)
+        return [(secrets.KINDS[kind], value) for _, _, kind, value in spans]
+
+    for text in (f"AWS_SECRET_KEY={key} x", f"/path/{key}", f"see {key}_z/q", f"v:{key}", short):
+        assert found(text) == [("format", key if key in text else short)], text
+    assert found(f"zz{base}-{key}") == [("hex", base), ("format", key)]
+    assert found(f"{key}/-{base}/zzzz")[0][1].startswith(key)
+    assert found("a well-known state_of_the_art path/to/2024-11-30 ------ ====") == []
+
+
+def test_needs_follow_the_credentials(spark):
+    draw = random.Random(8)
+    words = ["".join(draw.choice("ABCDEF") for _ in range(10)) for _ in range(200)]
+    docs = spark.createDataFrame(
+        [(k, f"password = {word}") for k, word in enumerate(words)], "doc_id long, text string")
+    (automaton,) = secrets.fit(docs)
+    assert (automaton.least, automaton.digit, automaton.letter) == (10, False, True)
+    assert [s[3] for s in secrets.all_spans("it is FADEBCADEF here", [automaton])] == ["FADEBCADEF"]
