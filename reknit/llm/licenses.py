@@ -1,6 +1,7 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance along directories.
 
-Every line, every paragraph and the whole of a text is compared with short licence notices.
+Every line, every paragraph and the whole of a text, and every stretch of a text as long as a
+template, is compared with licence notices, the usual file headers and full licence texts.
 Document frequencies of the templates' terms are counted over all documents; any other word
 weighs as much as one that no document holds, so a line of ordinary prose is far from every
 template. A file that is a licence as a whole, or is named like one, speaks for its directory,
@@ -13,6 +14,7 @@ per key on its other side, which is broadcast where it measures small.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -21,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reknit.llm.licence_texts import HEADERS, TEXTS
 from reknit.operators.joins import measured
 from reknit.session import materialize
 
@@ -47,6 +50,11 @@ TEMPLATES = [
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+# The line that names a licence by its identifier, with the forms that GNU licences have.
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}{form}")
+              for name in sorted({*TEXTS, *(name for name, _ in TEMPLATES)})
+              for form in (("", "-only", "-or-later", "+") if "GPL" in name else ("",))]
+TEMPLATES += [*HEADERS, *TEXTS.items()]
 THRESHOLD = 0.8
 # Fixed value: names of files that speak for their directory, in any case, before any ending.
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
@@ -68,26 +76,92 @@ class Templates:
     weights: dict[bytes, float]
     other: float
     threshold: float
+    sizes: list[int]
+
+    def __post_init__(self) -> None:
+        """What the search may leave out, by the threshold t: a match holds t² of a template's
+        squares, so it has at least ``needs`` distinct terms and one of the ``anchors``, the
+        heaviest terms that make more than 1 - t² of them."""
+        enough = self.threshold**2 - 1e-9
+        self.needs, self.anchors = [], {}
+        for k, vector in enumerate(self.vectors):
+            held, need = 0.0, 0
+            for term, w in sorted(vector.items(), key=lambda pair: (-pair[1], pair[0])):
+                if held <= 1 - enough:
+                    self.anchors.setdefault(term, []).append(k)
+                if held < enough:
+                    need += 1
+                held += w * w
+            self.needs.append(need)
+        self.ranks = sorted(set(self.needs))
+        self.known = [frozenset(t for need, vector in zip(self.needs, self.vectors) if need <= rank
+                                for t in vector) for rank in self.ranks]
 
     def matches(self, counts: Counter, outside: int) -> dict[str, float]:
         """Licences whose cosine reaches the threshold; ``outside``: squares of other words."""
         own = {term: n * self.weights[term] for term, n in counts.items()}
         length = math.sqrt(sum(w * w for w in own.values()) + outside * self.other**2)
         found: dict[str, float] = {}
-        for name, vector in zip(self.names, self.vectors):
-            cosine = sum(own[t] * w for t, w in vector.items() if t in own) / length
+        for name, vector, need in zip(self.names, self.vectors, self.needs):
+            if need > len(own):
+                continue
+            cosine = sum(w * vector[t] for t, w in own.items() if t in vector) / length
             if cosine >= self.threshold and cosine > found.get(name, 0):
                 found[name] = cosine
         return found
 
     def scan(self, words: list[bytes]) -> dict[str, float]:
-        weights = self.weights
-        known = [word for word in words if word in weights]
-        # Known words make at most k², others at least their number: most lines end here.
-        if len(known)**2 * (1 - self.threshold**2) < self.threshold**2 * (len(words) - len(known)):
+        counts = Counter(words)
+        rank = bisect_right(self.ranks, len(counts))
+        if not rank:
+            return {}
+        # A cosine is at most the part of the length that lies in words of templates that can
+        # be reached at all: most lines end here.
+        known, weights, other = self.known[rank - 1], self.weights, self.other
+        inside = total = 0.0
+        for word, n in counts.items():
+            square = (n * weights.get(word, other))**2
+            total += square
+            if word in known:
+                inside += square
+        if inside < (self.threshold**2 - 1e-9) * total:
             return {}
-        others = Counter(word for word in words if word not in weights)
-        return self.matches(Counter(known), sum(n * n for n in others.values())) if known else {}
+        own = Counter({word: n for word, n in counts.items() if word in weights})
+        return self.matches(own, sum(n * n for word, n in counts.items() if word not in weights))
+
+    def windows(self, words: list[bytes]) -> dict[str, float]:
+        """Licences of stretches as long as a template, in a longer text."""
+        places: dict[int, list[int]] = {}
+        for place, word in enumerate(words):
+            for k in self.anchors.get(word, ()):
+                if self.sizes[k] < len(words):
+                    places.setdefault(k, []).append(place)
+        found: dict[str, float] = {}
+        for k, spots in places.items():
+            size, vector, name = self.sizes[k], self.vectors[k], self.names[k]
+            end = -1
+            for spot in spots:
+                # Stretches that hold this anchor and haven't been looked at.
+                first = max(spot - size + 1, 0, end)
+                last = min(spot, len(words) - size)
+                if first > last:
+                    continue
+                counts = Counter(words[first:first + size])
+                total = sum((n * self.weights.get(t, self.other))**2 for t, n in counts.items())
+                dot = sum(n * self.weights[t] * vector[t] for t, n in counts.items() if t in vector)
+                for start in range(first, last + 1):
+                    cosine = dot / math.sqrt(total)
+                    if cosine >= self.threshold and cosine > found.get(name, 0):
+                        found[name] = min(cosine, 1.0)
+                    if start == last:
+                        break
+                    for term, by in ((words[start], -1), (words[start + size], 1)):
+                        weight, n = self.weights.get(term, self.other), counts[term]
+                        total += (2 * n * by + 1) * weight * weight
+                        dot += by * weight * vector.get(term, 0.0)
+                        counts[term] = n + by
+                end = last + 1
+        return found
 
 
 def unit_terms(text: str | None) -> Iterator[tuple[bool, list[bytes]]]:
@@ -137,7 +211,7 @@ def fit(docs: DataFrame, text: str = "text", templates: Sequence[tuple[str, str]
         length = math.sqrt(sum(w * w for w in vector.values()))
         vectors.append({term: w / length for term, w in vector.items()})
     return Templates([name for name, _ in counted], vectors, weights, math.log(total + 1) + 1,
-                     threshold)
+                     threshold, [sum(terms.values()) for _, terms in counted])
 
 
 def notices(docs: DataFrame, templates: Templates, keep: Sequence[str],
@@ -156,6 +230,9 @@ def notices(docs: DataFrame, templates: Templates, keep: Sequence[str],
                     for name, cosine in templates.scan(words).items():
                         found[name] = max(cosine, found.get(name, 0))
                         entire |= whole
+                    if whole:
+                        for name, cosine in templates.windows(words).items():
+                            found[name] = max(cosine, found.get(name, 0))
                 name = min(found, key=lambda n: (-found[n], n), default=None)
                 best.append(name)
                 scores.append(found.get(name))

@@ -89,3 +89,23 @@ def test_short_cut_drops_no_match(spark):
     own = templates.scan(licenses.terms_of(licenses.TEMPLATES[0][1].encode()))
     assert own["MIT"] == pytest.approx(1)
     assert templates.other > max(templates.weights.values()) - 1e-9
+
+
+def test_full_texts_and_headers(spark):
+    from reknit.llm.licence_texts import HEADERS, TEXTS
+
+    mit = "MIT License\n\nCopyright (c) 2019 Jo Doe\n\n" + TEXTS["MIT"]
+    gpl = "/*\n" + "\n".join(" * " + line for line in HEADERS[3][1].split(". ")) + "\n */\nint x;"
+    long = "some words before " * 30 + HEADERS[3][1] + " and others after it" * 30
+    rows = [("m/LICENSE", mit), ("m/a/x.py", "x = 1"), ("g/x.c", gpl), ("g/long", long),
+            ("s/x.js", "// SPDX-License-Identifier: MIT\nlet x"), ("p/y", "prose of no licence " * 50),
+            ("b/COPYING", "Copyright 2001 Jo Doe\n\n" + TEXTS["BSD-3-Clause"]), ("b/z", "z"),
+            *((f"t/{name}/LICENSE", text) for name, text in TEXTS.items())]
+    files = spark.createDataFrame([(k, *row) for k, row in enumerate(rows)],
+                                  "doc_id long, path string, text string")
+    found = {r.path: (r.licence, r.origin) for r in licenses.scan_licences(files).collect()}
+    assert found == {
+        "m/LICENSE": ("MIT", "own"), "m/a/x.py": ("MIT", "inherited"), "g/x.c": ("GPL-3.0", "own"),
+        "g/long": ("GPL-3.0", "own"), "s/x.js": ("MIT", "own"), "p/y": (None, None),
+        "b/COPYING": ("BSD-3-Clause", "own"), "b/z": ("BSD-3-Clause", "inherited"),
+        **{f"t/{name}/LICENSE": (name, "own") for name in TEXTS}}
