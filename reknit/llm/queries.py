@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reknit.llm import (
-    decontaminate, lengths, licenses, neardup, pieces, quality, secrets, topk, urls, warc)
+    decontaminate, lengths, licenses, neardup, pieces, quality, secrets, topk, toxicity, urls,
+    warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,3 +187,14 @@ def op9_token_counts(spark, folder):
 """)
 def op10_minhash_near_dedup(spark, folder):
     return neardup.near_duplicates(table(spark, folder, "documents"), size=3, threshold=0.85)
+
+
+@query()
+def op13_toxicity(spark, folder):
+    # A third of the ids is held out of the fit.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1,
+                          F.lit(False))
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels").filter(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
+                                              "predicted")

@@ -32,7 +32,7 @@ def spark_path(name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name.split("_")[0][2:]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert set(SQL) <= set(__spark_entry__.oracle_sql())
 
@@ -51,7 +51,7 @@ def test_same_rows_as_sql(spark, duck, name):
 @pytest.mark.parametrize("name, source, id", [
     ("op1_license_scans", "documents", "doc_id"), ("op2_secret_scans", "documents", "doc_id"),
     ("op3_quality_classifier", "documents", "doc_id"), ("op6_url_filters", "pages", "page_id"),
-    ("op7_sentencepiece", "documents", "doc_id")])
+    ("op7_sentencepiece", "documents", "doc_id"), ("op13_toxicity", "documents", "doc_id")])
 def test_a_row_for_each_row(spark, name, source, id):
     found = QUERIES[name](spark, SF)
     table = spark.read.parquet(f"{SF}/{source}.parquet")
