@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reknit.llm import (
-    decontaminate, lengths, licenses, neardup, pieces, quality, secrets, topk, toxicity, urls,
-    warc)
+    decontaminate, lengths, licenses, neardup, pieces, quality, runs, secrets, topk,
+    toxicity, urls, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,6 +189,87 @@ def op10_minhash_near_dedup(spark, folder):
     return neardup.near_duplicates(table(spark, folder, "documents"), size=3, threshold=0.85)
 
 
+# CRC-32 of the text in column k, bit by bit.
+CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::UBIGINT, list_transform(range(1, strlen(k) + 1),
+        lambda i: ascii(k[i])::UBIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)::UBIGINT[]),
+        lambda v, j: xor(v >> 1, (v & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT)::BIGINT"""
+
+
+@query(rf"""
+    WITH keyed AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+               doc_id::VARCHAR AS k FROM documents),
+    drawn AS (SELECT doc_id, w, len(w) AS n, {CRC32} AS h FROM keyed),
+    placed AS (SELECT *, (h // 10) % greatest(n, 1) AS a, 3 + (h // 10) % 8 AS parts FROM drawn),
+    tailed AS (
+        SELECT doc_id, n, CASE WHEN h % 10 = 0 THEN list_transform(range(0, n), lambda i:
+            CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // parts) + 1] END)
+            ELSE w END AS w
+        FROM placed),
+    grams AS (
+        SELECT doc_id, unnest(range(0, n - 15)) AS spot, unnest(list_transform(range(1, n - 14),
+            lambda i: hash(array_to_string(w[i:i + 15], ' ')))) AS gram
+        FROM tailed WHERE n >= 24),
+    pairs AS (
+        SELECT a.doc_id, a.spot, b.spot - a.spot AS period,
+               a.spot - row_number() OVER (
+                   PARTITION BY a.doc_id, b.spot - a.spot ORDER BY a.spot) AS island
+        FROM grams a JOIN grams b USING (doc_id, gram) WHERE a.spot < b.spot),
+    stretches AS (
+        SELECT doc_id, period, min(spot) AS start, count(*) + 15 + period AS length
+        FROM pairs GROUP BY doc_id, period, island
+        HAVING count(*) + 15 + period >= greatest(24, 3 * period)),
+    runs AS (
+        SELECT * FROM stretches s WHERE NOT EXISTS (
+            SELECT 1 FROM stretches t WHERE t.doc_id = s.doc_id AND t.period < s.period
+                AND t.start <= s.start AND t.start + t.length >= s.start + s.length)),
+    best AS (
+        SELECT DISTINCT ON (doc_id) * FROM runs
+        ORDER BY doc_id, length::DOUBLE / period DESC, start, period),
+    listed AS (
+        SELECT doc_id, count(*) AS n_runs, string_agg(concat(
+            start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines,
+            flatten(list(range(start + period, start + length))) AS gone
+        FROM runs GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start,
+           length::BIGINT AS length, period::BIGINT AS period,
+           (1000 * length // period)::BIGINT AS exponent_milli,
+           sha256(coalesce(lines, '')) AS runs_sha256,
+           sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(
+               list_filter(range(0, n), lambda i: NOT list_contains(gone, i)),
+               lambda i: w[i + 1]) END, ' '), '')) AS collapsed_sha256
+    FROM tailed LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id)
+""")
+def op11_periodic_runs(spark, folder):
+    found = runs.detect(_tailed(table(spark, folder, "documents"))).withColumn(
+        "best", runs.strongest("runs"))
+    lines = F.array_join(F.transform("runs", lambda run: F.concat(
+        run["start"], F.lit(","), run["length"], F.lit(","), run["period"], F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def _tailed(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by a checksum of the id, gets a periodic tail."""
+    drawn = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary"))
+                        .alias("h"))
+    # Only the texts that change are split here.
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    split = drawn.withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn(
+        "n", F.size("w").cast("long"))
+    placed = split.withColumn("a", F.expr("(h div 10) % n")).withColumn(
+        "p", F.expr("1 + (n - a) div (3 + (h div 10) % 8)"))
+    tail = F.expr("array_join(concat(slice(w, 1, int(a)), transform("
+                  "sequence(a, n - 1), i -> w[int(a + (i - a) % p)])), ' ')")
+    return placed.select("doc_id", F.when(F.col("n") > 0, tail).otherwise(F.col("text"))
+                         .alias("text"))
+
+
 @query()
 def op13_toxicity(spark, folder):
     # A third of the ids is held out of the fit.

@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels", "embeddings"):
+    for name in ("documents", "pages", "benchmark", "labels", "embeddings", "conversations"):
         path = spark_path(name)
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
     yield connection
