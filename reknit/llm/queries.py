@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reknit.llm import (
-    decontaminate, lengths, licenses, neardup, pieces, quality, runs, secrets, topk,
+    conversations, decontaminate, lengths, licenses, neardup, pieces, quality, runs, secrets, topk,
     toxicity, urls, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -270,6 +270,106 @@ def _tailed(docs: DataFrame) -> DataFrame:
                          .alias("text"))
 
 
+def _edit(initial: str, cost: str, state: str, line: str | None = None) -> str:
+    """SQL of a state's best way with an edit before it."""
+    said = f"list_prepend({line}, {state}.said)" if line else f"{state}.said"
+    return f"{{'cost': {state}.cost + {cost}, 'audit': '{initial}' || {state}.audit, 'said': {said}}}"
+
+
+def _stayed(state: str, kept: str, then: str, name: str) -> str:
+    """SQL of the best edit of a row before which a conversation is in a state."""
+    return (f"list_min(CASE WHEN gone THEN [{_edit('D', '4', state)}] ELSE [{_edit('D', '4', state)}, "
+            f"{kept}, {_edit('R', '3 + cut', then, f"'{name}:' || text")}] END)")
+
+
+def _kept(initial: str, then: str) -> str:
+    return f"WHEN '{initial}' THEN {_edit('K', 'cut', then, "role || ':' || text")}"
+
+
+def _inserted() -> str:
+    """SQL of the states' best ways, inserts included, from those without (bn, bs, bu, ba)."""
+    user = f"list_min([bu, {_edit('I', '3', 'ba', "'assistant:'")}])"
+    return (f"SELECT conv_id, i, list_min([bn, {_edit('I', '3', 'u', "'user:'")}]) AS n, "
+            f"list_min([bs, {_edit('I', '3', 'u', "'user:'")}]) AS s, u, a FROM ("
+            f"SELECT *, {user} AS u, list_min([ba, {_edit('I', '3', 'bu', "'user:'")}]) AS a FROM")
+
+
+_OPEN = "{'cost': 1000000000, 'audit': '', 'said': []::VARCHAR[]}"
+_DONE = "{'cost': 0, 'audit': '', 'said': []::VARCHAR[]}"
+
+
+@query(rf"""
+    WITH RECURSIVE keyed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')) AS k
+        FROM conversations),
+    drawn AS (SELECT *, {CRC32} % 20 AS h FROM keyed),
+    damaged AS (
+        SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+        FROM drawn, (VALUES (0), (1)) AS c(copy) WHERE h <> 0 AND (copy = 0 OR h = 3)),
+    placed AS (
+        SELECT *, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+            rtrim(text, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) AS shown
+        FROM damaged),
+    told AS (
+        SELECT *, shown = '' AS blank, shown <> '' AND row_number() OVER (
+                PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+            coalesce(lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1)
+                NOT IN ('su', 'ua', 'au'), false) AS seam
+        FROM placed),
+    faults AS (
+        SELECT *, blank OR again AS gone,
+            3 * (NOT blank AND NOT again AND right(shown, 1) NOT IN ('.', '!', '?'))::INT AS cut
+        FROM told),
+    totals AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+            count(*) FILTER (cut > 0) AS truncated, count(*) FILTER (seam) AS illegal,
+            max(i) + 1 AS i FROM faults GROUP BY conv_id),
+    walk AS (
+        {_inserted()} (SELECT conv_id, i, {_DONE} AS bn, {_OPEN} AS bs, {_OPEN} AS bu,
+                              {_DONE} AS ba FROM totals))
+        UNION ALL
+        {_inserted()} (
+            SELECT w.conv_id, f.i,
+                {_stayed('n', f"CASE left(role, 1) {_kept('s', 's')} {_kept('u', 'u')} END", 'u', 'user')} AS bn,
+                {_stayed('s', f"CASE left(role, 1) {_kept('u', 'u')} END", 'u', 'user')} AS bs,
+                {_stayed('u', f"CASE left(role, 1) {_kept('a', 'a')} END", 'a', 'assistant')} AS bu,
+                {_stayed('a', f"CASE left(role, 1) {_kept('u', 'u')} END", 'u', 'user')} AS ba
+            FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id
+                AND f.i = w.i - 1)))
+    SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+           coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+           coalesce(illegal, 0)::BIGINT AS illegal, coalesce(n.cost, 0)::BIGINT AS cost,
+           coalesce(n.audit, '') AS audit,
+           sha256(coalesce(array_to_string(n.said, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c
+    LEFT JOIN totals t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN walk w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.i = 1
+""")
+def op12_conversation_repair(spark, folder):
+    damaged = _damaged(table(spark, folder, "conversations"))
+    return conversations.summary(conversations.repair(damaged, present="present"))
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """A fifth of the rows is dropped, emptied, cut, repeated or given to the user."""
+    key = F.concat(*(F.coalesce(F.col(name).cast("string"), F.lit(" ")) if name else F.lit(":")
+                     for name in ("conv_id", None, "turn")))
+    role, text = (F.coalesce(F.col(name), F.lit(" ")) for name in ("role", "text"))
+    drawn = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"),
+                        (F.crc32(key.cast("binary")) % 20).alias("h"))
+    return drawn.select(
+        "conv_id", "turn",
+        F.when(F.col("h") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text")).alias("text"), (F.col("h") != 0).alias("present"),
+        F.explode(F.when(F.col("h") == 3, F.array(F.lit(0), F.lit(1)))
+                  .otherwise(F.array(F.lit(0)))).alias("copy"))
+
+
 @query()
 def op13_toxicity(spark, folder):
     # A third of the ids is held out of the fit.
