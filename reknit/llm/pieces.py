@@ -4,16 +4,20 @@ The ids of a text are the segmentation of the largest summed piece score, ties t
 last piece; characters that no piece covers fall back to their bytes. The search keeps scores
 and backpointers for a window only: a position can be reached from the longest piece's length
 behind it at most, so ids are committed as soon as the backpointer paths of all positions that
-can still be continued meet in one boundary.
-
-Where the vocabulary itself forces such a boundary (before a space that follows another
-character, around line ends if no piece holds one), what lies between two boundaries is coded
-once per worker and remembered, which gives the same ids.
+can still be continued meet in one boundary. The simplest such case is a place that no piece
+reaches over: there is one path, and it is committed at once.
+
+A text is one stream of stretches, which end where the stream always commits: before a space that
+follows another character, and around line ends if no piece holds one. The streams of some
+hundred texts advance together: the window of a stretch that is new to all of them is a lane of
+arrays, in which every step extends all lanes by one character. What has been committed for a
+stretch is remembered by the worker for a while, which gives the same ids.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
@@ -30,7 +34,7 @@ UNKNOWN_PENALTY = 10.0
 # How often convergence is looked for, in characters.
 STRIDE = 64
 LOWEST = float("-inf")
-# Stretches up to this length are remembered, and so many of them.
+# Stretches up to this length are remembered: so many, and as many that were seen before them.
 REMEMBERED_LENGTH, REMEMBERED = 48, 150_000
 # Texts that leave a task together.
 TOGETHER = 500
@@ -89,10 +93,22 @@ def viterbi(text: str, vocabulary: Vocabulary, stride: int = STRIDE) -> Iterator
     tree, longest, length = vocabulary.tree, vocabulary.longest, len(text)
     unknown = vocabulary.worst - UNKNOWN_PENALTY
     # The window: by end position from ``done`` on, the best score and the piece that ends there.
-    done = 0
+    done = furthest = 0
     best: list[float] = [0.0] + [LOWEST] * min(length, stride + 2 * longest)
     start_of, id_of = [0] * len(best), [0] * len(best)
     for start in range(length):
+        if done < start == furthest:
+            # No piece reaches over this place, so every path passes it.
+            yield _path(text, start_of, id_of, done, start, vocabulary)
+            shift = start - done
+            best = [0.0, *best[shift + 1:]]
+            del start_of[:shift], id_of[:shift]
+            done = start
+            room = min(length - start, stride + 2 * longest) + 1 - len(best)
+            if room > 0:
+                best.extend([LOWEST] * room)
+                start_of.extend([0] * room)
+                id_of.extend([0] * room)
         place = start - done
         here = best[place]
         step, end = tree.get(text[start]), place + 1
@@ -106,6 +122,8 @@ def viterbi(text: str, vocabulary: Vocabulary, stride: int = STRIDE) -> Iterator
                 break
             step = steps.get(text[end + done])
             end += 1
+        if end + done > furthest:
+            furthest = end + done
         if place < stride:
             continue
         # Do the paths of all ends that can still be continued pass one boundary?
@@ -149,31 +167,140 @@ def _path(text: str, start_of: list[int], id_of: list[int], begin: int, end: int
     return parts
 
 
+class Lanes:
+    """The search over many short stretches at once, a step extending all by one character."""
+
+    # Characters with a column of their own in the table of steps; others are looked up.
+    COLUMNS = 128
+    # Stretches that are searched together.
+    WIDTH = 8192
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        often = Counter(chain.from_iterable(vocabulary.ids)).most_common(self.COLUMNS - 1)
+        self.column = np.zeros(0x110000, np.uint8)
+        for k, (character, _) in enumerate(often):
+            self.column[ord(character)] = k + 1
+        steps: dict[tuple[int, str], int] = {}
+        ends: dict[int, tuple[float, int]] = {}
+        for piece, found in vocabulary.ids.items():
+            node = 0
+            for character in piece:
+                node = steps.setdefault((node, character), len(steps) + 1)
+            ends[node] = found
+        self.table = np.zeros((len(steps) + 1, self.COLUMNS), np.int32)
+        rare = []
+        for (node, character), then in steps.items():
+            if column := self.column[ord(character)]:
+                self.table[node, column] = then
+            else:
+                rare.append((node << 21 | ord(character), then))
+        self.rare, self.rare_then = np.array(sorted(rare), np.int64).reshape(-1, 2).T
+        self.score, self.id = np.zeros(len(steps) + 1), np.full(len(steps) + 1, -1, np.int32)
+        for node, (score, id) in ends.items():
+            self.score[node], self.id[node] = score, id
+
+    def _step(self, node: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The nodes after some characters, 0 where no piece goes on."""
+        column = self.column[codes]
+        then = self.table[node, column]
+        if len(self.rare) and not column.all():
+            open_ = np.flatnonzero(column == 0)
+            keys = node[open_].astype(np.int64) << 21 | codes[open_]
+            place = np.minimum(np.searchsorted(self.rare, keys), len(self.rare) - 1)
+            then[open_] = np.where(self.rare[place] == keys, self.rare_then[place], 0)
+        return then
+
+    def search(self, stretches: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
+        """Each stretch with its ids."""
+        stretches = sorted(stretches, key=len)
+        for start in range(0, len(stretches), self.WIDTH):
+            yield from self._searched(stretches[start:start + self.WIDTH])
+
+    def _searched(self, stretches: list[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
+        lengths = np.array(list(map(len, stretches)), np.int64)
+        count, width = len(stretches), int(lengths[-1])
+        codes = np.frombuffer("".join(s.ljust(width, "\0") for s in stretches).encode(
+            "utf-32-le", "surrogatepass"), np.uint32).reshape(count, width).astype(np.int64)
+        best = np.full((count, width + 1), LOWEST)
+        best[:, 0] = 0
+        start_of, id_of = np.zeros((count, width + 1), np.int32), np.full((count, width + 1), -1, np.int32)
+        unknown = self.vocabulary.worst - UNKNOWN_PENALTY
+        for start in range(width):
+            lanes = np.arange(np.searchsorted(lengths, start, "right"), count)
+            here, node = best[lanes, start], np.zeros(len(lanes), np.int32)
+            for end in range(start + 1, min(width, start + self.vocabulary.longest) + 1):
+                node = self._step(node, codes[lanes, end - 1])
+                ids = self.id[node]
+                found = here + self.score[node]
+                if end == start + 1:
+                    found = np.where(ids < 0, here + unknown, found)
+                    better = found > best[lanes, end]
+                else:
+                    better = (ids >= 0) & (found > best[lanes, end])
+                own = lanes[better]
+                best[own, end], start_of[own, end], id_of[own, end] = found[better], start, ids[better]
+                on = (node > 0) & (lengths[lanes] > end)
+                if not on.any():
+                    break
+                lanes, here, node = lanes[on], here[on], node[on]
+        # Along the backpointers, all lanes at once.
+        out, free = np.zeros((count, width), np.int32), np.full(count, width)
+        whole = np.ones(count, bool)
+        lanes, ends = np.arange(count), lengths.copy()
+        while len(lanes):
+            ids = id_of[lanes, ends]
+            whole[lanes[ids < 0]] = False
+            free[lanes] -= 1
+            out[lanes, free[lanes]] = ids
+            ends = start_of[lanes, ends]
+            lanes, ends = lanes[ends > 0], ends[ends > 0]
+        for k, stretch in enumerate(stretches):
+            if whole[k]:
+                yield stretch, tuple(out[k, free[k]:].tolist())
+            else:
+                # It holds characters that are written in bytes.
+                yield stretch, tuple(chain.from_iterable(viterbi(stretch, self.vocabulary)))
+
+
 class _Remembered(dict):
-    """Ids of a stretch between forced boundaries.
+    """Ids of stretches that the streams have committed before.
 
     As a broadcast value it lives as long as its worker, and what one task has coded serves
-    the next ones.
+    the next ones. When it is full it becomes the older half, from which what is still used
+    comes back.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.lanes: Lanes | None = None
 
     def __missing__(self, stretch: str) -> tuple[int, ...]:
-        ids = tuple(chain.from_iterable(viterbi(stretch, self.vocabulary)))
-        if len(stretch) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[stretch] = ids
-        return ids
+        """A long stretch is streamed by itself and not remembered."""
+        return tuple(chain.from_iterable(viterbi(stretch, self.vocabulary)))
+
+    def streams(self, texts: list[str]) -> list[list[int]]:
+        """The ids of some texts, each of which gets a space in front."""
+        if self.lanes is None:
+            self.lanes = Lanes(self.vocabulary)
+        found = self.vocabulary.stretches.findall
+        stretches = [found(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
+        fresh = set().union(*stretches).difference(self)
+        if len(self) + len(fresh) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+            fresh = set().union(*stretches)
+        known = {s: ids for s in fresh if (ids := self.older.get(s)) is not None}
+        self.update(known)
+        self.update(self.lanes.search([
+            s for s in fresh if s not in known and len(s) <= REMEMBERED_LENGTH]))
+        return [list(chain.from_iterable(map(self.__getitem__, own))) for own in stretches]
 
 
 def encode_text(text: str, known: _Remembered) -> list[int]:
-    """The ids of one text, which gets a space in front."""
-    if not text:
-        return []
-    return list(chain.from_iterable(map(known.__getitem__, known.vocabulary.stretches.findall(
-        SPACE + text.replace(" ", SPACE)))))
+    """The ids of one text."""
+    return known.streams([text])[0]
 
 
 def decode_ids(ids: list[int], texts: list[bytes]) -> str:
@@ -200,9 +327,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
 
     def coded(batch: pa.RecordBatch, known: _Remembered) -> pa.RecordBatch:
         found, offsets, total, same = [], [], 0, []
-        for cell in batch.column(1):
-            value = cell.as_py()
-            ids = encode_text(value, known) if value else []
+        values = batch.column(1).to_pylist()
+        for value, ids in zip(values, known.streams([value or "" for value in values])):
             offsets.append(None if value is None else total)
             found.append(np.array(ids, np.int32))
             total += len(ids)

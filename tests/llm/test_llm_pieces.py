@@ -76,3 +76,34 @@ def test_encode_and_decode_tables(spark):
         assert (row.ids is None) == (row.text is None)
         assert row.ids != [] or row.text == ""
     assert pieces.decode(pieces.encode(docs.limit(0), VOCABULARY), VOCABULARY).count() == 0
+
+
+def test_lanes_as_single_streams():
+    lanes = pieces.Lanes(VOCABULARY)
+    draw = random.Random(8)
+    stretches = {"".join(draw.choice("theanring,.é日🙂x9▁\t") for _ in range(draw.randrange(1, 49)))
+                 for _ in range(3000)}
+    found = dict(lanes.search(list(stretches)))
+    assert set(found) == stretches
+    for stretch, ids in found.items():
+        assert list(ids) == [id for part in pieces.viterbi(stretch, VOCABULARY) for id in part]
+    assert list(lanes.search([])) == []
+
+
+def test_commits_on_the_texts_of_the_query(spark):
+    """The stream of a whole text commits again and again, and gives the query's ids."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(20)
+    coded = pieces.encode(rows, VOCABULARY).collect()
+    for row in coded:
+        parts = list(pieces.viterbi(pieces.SPACE + row.text.replace(" ", pieces.SPACE), VOCABULARY))
+        assert len(parts) >= len(row.text.split()) / 2
+        assert [id for part in parts for id in part] == row.ids
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 5)
+    known = pieces._Remembered(VOCABULARY)
+    for text in ("the cat sat on the mat", "a dog, the cat", "x " * 40, "the mat " + "y" * 100):
+        assert known.streams([text, "", text]) == [
+            pieces.encode_text(text, pieces._Remembered(VOCABULARY)), [],
+            pieces.encode_text(text, pieces._Remembered(VOCABULARY))]
