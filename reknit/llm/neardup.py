@@ -4,8 +4,9 @@ Every text becomes its set of word shingles and 128 minima. Bands of four minima
 that similar texts share; the two low bits of each minimum are packed into 32 bytes, from which
 a pair's similarity is estimated by counting equal cells and taking off chance collisions.
 
-1. Texts with equal sets form a class, of which one document goes on (a minimum per
-   fingerprint, combined map-side, so a third of all rows may be copies of one text).
+1. Texts with equal sets form a class, which gets a number of its own and is represented by one
+   document (a minimum per fingerprint, combined map-side, so a third of all rows may be copies
+   of one text).
 2. Classes that share buckets form families: components of the edges from each bucket's
    smallest member, which are as many as members, never pairs.
 3. A family's sets meet in one task, those of a larger one in pairs of blocks, and those of a
@@ -14,12 +15,14 @@ a pair's similarity is estimated by counting equal cells and taking off chance c
    links that join two components leave the task (at most one per member), not all pairs.
 5. The components of these links are the groups.
 
-The estimate is let through down to five standard deviations below the threshold, and 32 bands
-miss a link at a similarity of 0.8 once in 2 * 10**7, at 0.85 once in 10**10.
+The estimate is let through down to where a pair at the threshold falls once in 10**10 (the exact
+binomial tail), and 32 bands miss a link at a similarity of 0.8 once in 2 * 10**7, at 0.85 once
+in 10**10.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +31,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from reknit.llm.components import components
 from reknit.llm.shingles import (
     WordHashes, minima, mixed, permutations, shingle_set, words_of)
-from reknit.session import materialize
+from reknit.session import broadcast_if_small, materialize, measure
 
 ROWS, BANDS = 4, 32
 HASHES = ROWS * BANDS
@@ -60,10 +64,14 @@ def estimates(one: np.ndarray, others: np.ndarray) -> np.ndarray:
     return (equal - CHANCE) / (1 - CHANCE)
 
 
-def estimate_floor(threshold: float) -> float:
-    """The estimate that a pair at the threshold falls below once in a few million."""
+def estimate_floor(threshold: float, missed: float = 1e-10) -> float:
+    """The estimate that a pair at the threshold falls below with a probability of ``missed``."""
     equal = CHANCE + (1 - CHANCE) * threshold
-    return threshold - 5 * (equal * (1 - equal) / HASHES) ** 0.5 / (1 - CHANCE)
+    cells, below = 0, (1 - equal) ** HASHES
+    while below <= missed:
+        cells += 1
+        below += math.comb(HASHES, cells) * equal**cells * (1 - equal) ** (HASHES - cells)
+    return (cells / HASHES - CHANCE) / (1 - CHANCE)
 
 
 def band_keys(lowest: np.ndarray) -> np.ndarray:
@@ -76,48 +84,47 @@ def band_keys(lowest: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
-    """Per row: doc, n_shingles, print (of the set), keys (of its buckets)."""
-    schema = pa.schema([("doc", pa.int64()), ("n_shingles", pa.int64()), ("print", pa.binary()),
-                        ("keys", pa.list_(pa.int64()))])
-
+    """Per row: doc, n_shingles, print (of the set), signature, keys (of its buckets)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, multipliers = WordHashes(), permutations(HASHES)
         for batch in batches:
-            counts, prints, keys = [], [], []
+            counts, prints, packs, keys = [], [], [], []
             for value in batch.column(1):
                 found = shingle_set(words_of(value.as_py()), size, hashes)
                 counts.append(len(found))
-                if not len(found):
-                    prints.append(None)
-                    keys.append(None)
-                    continue
-                prints.append(xxhash.xxh3_128_digest(found.tobytes()))
-                keys.append(band_keys(minima(found, multipliers)))
+                lowest = minima(found, multipliers) if len(found) else None
+                prints.append(_print(found))
+                packs.append(None if lowest is None else packed(lowest))
+                keys.append(None if lowest is None else band_keys(lowest))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(prints, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))],
-                schema=schema)
+                 pa.array(packs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc", "n_shingles", "print", "signature", "keys"])
+
+    rows = docs.select(F.col(id).alias("doc"), F.col(text).cast("string"))
+    kind = rows.schema["doc"].dataType.simpleString()
+    return rows.mapInArrow(
+        run, f"doc {kind}, n_shingles long, print binary, signature binary, keys array<long>")
 
-    return docs.select(F.col(id).cast("long").alias("doc"), F.col(text).cast("string")).mapInArrow(
-        run, "doc long, n_shingles long, print binary, keys array<long>")
+
+def _print(found: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None
 
 
 def _full_sets(texts: DataFrame, size: int) -> DataFrame:
-    """(doc, text) becomes (doc, signature, shingles), the set as bytes."""
+    """(text) becomes (print, shingles), the set as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, multipliers = WordHashes(), permutations(HASHES)
+        hashes = WordHashes()
         for batch in batches:
             sets = [shingle_set(words_of(value.as_py()), size, hashes)
-                    for value in batch.column(1)]
+                    for value in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0),
-                 pa.array([packed(minima(found, multipliers)) for found in sets], pa.binary()),
+                [pa.array([_print(found) for found in sets], pa.binary()),
                  pa.array([found.tobytes() for found in sets], pa.binary())],
-                names=["doc", "signature", "shingles"])
+                names=["print", "shingles"])
 
-    return texts.mapInArrow(run, "doc long, signature binary, shingles binary").filter(
-        "octet_length(shingles) > 0")
+    return texts.mapInArrow(run, "print binary, shingles binary").filter("print IS NOT NULL")
 
 
 class _Bitsets:
@@ -180,13 +187,13 @@ def links_within(docs: np.ndarray, side: np.ndarray, sketches: np.ndarray,
 
 
 def _family_links(members: DataFrame, threshold: float) -> DataFrame:
-    """Verified links of (unit, i, j, side, doc, signature, shingles)."""
+    """Verified links of (unit, i, j, side, node, signature, shingles)."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("doc", kind="stable")
+        group = group.sort_values("node", kind="stable")
         sets = [np.frombuffer(found, np.uint64) for found in group["shingles"]]
         sketches = np.frombuffer(b"".join(group["signature"]), np.uint64).reshape(len(group), -1)
-        found = links_within(group["doc"].to_numpy(), group["side"].to_numpy(), sketches, sets,
+        found = links_within(group["node"].to_numpy(), group["side"].to_numpy(), sketches, sets,
                              threshold)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
@@ -194,22 +201,22 @@ def _family_links(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def _units(members: DataFrame, banded: DataFrame) -> DataFrame:
-    """Which tasks a member takes part in: (doc, unit, i, j, side)."""
+    """Which tasks a member takes part in: (node, unit, i, j, side)."""
     def blocked(sizes: DataFrame) -> DataFrame:
         return sizes.withColumn("blocks", F.greatest(
             F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int"))
 
     def dealt(rows: DataFrame) -> DataFrame:
-        return (rows.withColumn("side", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
+        return (rows.withColumn("side", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                .select("doc", "unit", F.least("side", "other").alias("i"),
+                .select("node", "unit", F.least("side", "other").alias("i"),
                         F.greatest("side", "other").alias("j"), "side"))
 
     sizes = blocked(members.groupBy("family").agg(F.count("*").alias("n"),
                                                   F.sum("n_shingles").alias("total")))
     sized = members.join(sizes.select("family", "blocks"), "family")
     whole = sized.filter(F.col("blocks") <= GRID).withColumn("unit", F.col("family"))
-    inside = banded.join(sized.filter(F.col("blocks") > GRID).select("doc", "n_shingles"), "doc")
+    inside = banded.join(sized.filter(F.col("blocks") > GRID).select("node", "n_shingles"), "node")
     buckets = blocked(inside.groupBy("key").agg(F.count("*").alias("n"),
                                                 F.sum("n_shingles").alias("total"))
                       .filter("n > 1"))
@@ -217,6 +224,42 @@ def _units(members: DataFrame, banded: DataFrame) -> DataFrame:
     return dealt(whole).unionByName(dealt(split))
 
 
+def _classes(docs: DataFrame, rows: DataFrame, id: str, text: str, size: int,
+             threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Classes of equal sets (node, print, low: its smallest id), and the links that join them.
+
+    ``rows`` are the signatures. A class is a node of its own even where ids repeat.
+    """
+    usable = rows.filter("doc IS NOT NULL AND print IS NOT NULL")
+    classes = materialize(
+        usable.groupBy("print").agg(F.min("doc").alias("low"), *(
+            F.first(name).alias(name) for name in ("n_shingles", "signature", "keys")))
+        .withColumn("node", F.monotonically_increasing_id()), "classes")
+    banded = classes.select("node", F.explode("keys").alias("key"))
+    shared = banded.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")) \
+        .filter("least < most")
+    banded = materialize(banded.join(shared.select("key", "least"), "key"), "buckets")
+    families = components(banded.select(F.col("least").alias("a"), F.col("node").alias("b")))
+    members = materialize(classes.drop("keys").join(
+        families.select("node", F.col("low").alias("family")), "node"), "members")
+    dealt = _units(members, banded.select("node", "key")).join(
+        members.select("node", "print", "signature"), "node")
+    # Of a class one text goes on. An id may have others, and the same one again.
+    texts = (docs.select(F.col(id).alias("doc"), F.col(text).cast("string").alias("text"))
+             .join(members.select(F.col("low").alias("doc")).distinct(), "doc", "left_semi"))
+    sets = _full_sets(texts.select("text"), size).groupBy("print").agg(
+        F.first("shingles").alias("shingles"))
+    links = _family_links(dealt.join(sets, "print"), threshold)
+    return classes.select("node", "print", "low"), links
+
+
+def _grouped(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Per class: print, low, and the number of its group."""
+    groups = components(links)
+    return classes.join(groups.select("node", F.col("low").alias("group")), "node", "left").select(
+        "print", "low", F.coalesce("group", "node").alias("group"))
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5,
                     threshold: float = 0.8) -> DataFrame:
     """Per row: ``id``, n_shingles, component_id (the smallest id reachable), kept.
@@ -224,41 +267,23 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     Texts are linked when the Jaccard similarity of their sets of ``size``-word shingles is at
     least ``threshold``. NULL and empty texts, and rows without id, are linked with nothing
     (component_id is their own id). Rows that repeat an id are one document, linked by any of
-    their texts; each gives a row. Other columns of ``docs`` are not looked at.
+    their texts; each gives a row. Ids may be of any type that can be ordered. Other columns of
+    ``docs`` are not looked at.
     """
     rows = materialize(signatures(docs, id, text, size), "signatures")
-    usable = rows.filter("doc IS NOT NULL AND n_shingles > 0").select(
-        "doc", "n_shingles", "print", "keys")
-    classes = materialize(usable.groupBy("print").agg(F.min("doc").alias("low")), "classes")
-    # A document per class; a repeated row of it is the same in all columns.
-    chosen = materialize(
-        usable.join(classes, "print").filter("doc = low")
-        .groupBy("print", "doc").agg(F.first("n_shingles").alias("n_shingles"),
-                                     F.first("keys").alias("keys")), "chosen")
-    banded = chosen.select("doc", F.explode("keys").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"),
-                                       F.count("*").alias("n")).filter("n > 1 AND low < high")
-    banded = materialize(banded.join(shared.select("key", "low"), "key"), "buckets")
-    families = components(banded.select(F.col("low").alias("a"), F.col("doc").alias("b")))
-    members = materialize(
-        chosen.groupBy("doc").agg(F.sum("n_shingles").alias("n_shingles"))
-        .join(families.select(F.col("node").alias("doc"), F.col("low").alias("family")), "doc"),
-        "members")
-    dealt = _units(members, banded.select("doc", "key").distinct())
-    texts = (docs.select(F.col(id).cast("long").alias("doc"), F.col(text).cast("string"))
-             .join(members.select("doc"), "doc", "left_semi"))
-    links = _family_links(dealt.join(_full_sets(texts, size), "doc"), threshold)
+    classes, links = _classes(docs, rows, id, text, size, threshold)
     # An id that repeats with another text ties the classes of its texts together.
-    again = usable.groupBy("doc").agg(F.count_distinct("print").alias("n")).filter("n > 1")
-    tied = (usable.select("doc", "print").join(again.select("doc"), "doc").join(classes, "print")
-            .select(F.col("low").alias("a"), F.col("doc").alias("b")))
-    groups = components(links.unionByName(tied))
-    lows = (classes.join(groups.select(F.col("node").alias("low"), F.col("low").alias("group")),
-                         "low", "left")
-            .select("print", F.coalesce("group", "low").alias("component")))
+    usable = rows.filter("doc IS NOT NULL AND print IS NOT NULL").select("doc", "print")
+    again = usable.groupBy("doc").agg(F.min("print").alias("one"), F.max("print").alias("other")) \
+        .filter("one <> other").select("doc")
+    placed = (usable.join(again, "doc").distinct().join(classes, "print").select("doc", "node"))
+    tied = placed.join(placed.groupBy("doc").agg(F.min("node").alias("a")), "doc").select(
+        "a", F.col("node").alias("b"))
+    groups = materialize(_grouped(classes, links.unionByName(tied)), "groups")
+    lows = groups.join(groups.groupBy("group").agg(F.min("low").alias("component")), "group")
     return (rows.select("doc", "n_shingles", F.when(F.col("doc").isNotNull(), F.col("print"))
                         .alias("print"))
-            .join(lows, "print", "left")
+            .join(lows.select("print", "component"), "print", "left")
             .withColumn("component_id", F.coalesce("component", "doc"))
             .select(F.col("doc").alias(id), "n_shingles", "component_id",
                     F.col("doc").eqNullSafe(F.col("component_id")).alias("kept")))
@@ -266,14 +291,58 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5,
              threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each group the smallest id stays.
+    """The rows of ``docs`` without near duplicates: of each group of texts one row stays.
 
-    Of rows that repeat an id one stays. Rows without id all stay.
+    It is the one with the smallest id. Here rows are judged by their texts, so of rows that
+    repeat an id those with texts of their own stay. Rows without id, and those with a NULL or
+    empty text, all stay.
     """
-    found = near_duplicates(docs, id, text, size, threshold)
-    gone = found.filter(~F.col("kept")).select(id).distinct()
-    again = docs.groupBy(id).agg(F.count("*").alias("__n")).filter(
-        F.col("__n") > 1).filter(F.col(id).isNotNull()).select(id)
-    kept = docs.join(gone, id, "left_anti")
-    return kept.join(again, id, "left_anti").unionByName(
-        kept.join(again, id, "left_semi").dropDuplicates([id]))
+    rows = materialize(signatures(docs, id, text, size), "signatures")
+    classes, links = _classes(docs, rows, id, text, size, threshold)
+    best = F.min(F.struct("low", "print"))
+    stay = (_grouped(classes, links).groupBy("group").agg(best.alias("best"))
+            .select(F.col("best.low").alias("doc"), F.col("best.print").alias("print")))
+    stay = materialize(stay, "stay")
+    usable = rows.filter("doc IS NOT NULL").select("doc", "print")
+    counts = usable.groupBy("doc").agg(F.count("*").alias("n"), F.first("print").alias("print"))
+    # Ids that occur once go by their ids alone, and no text is looked at again.
+    gone = materialize(
+        counts.filter("n = 1 AND print IS NOT NULL").select("doc", "print")
+        .join(stay, ["doc", "print"], "left_anti").select("doc"), "gone")
+    again = materialize(counts.filter("n > 1").select("doc"), "again")
+    key = docs[id]
+
+    def without(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        other = broadcast_if_small(other.withColumnRenamed("doc", "__doc"), measure(other))
+        return rows.join(other, key == F.col("__doc"), how)
+
+    kept = without(docs, gone, "left_anti")
+    if again.isEmpty():
+        return kept
+    repeated = without(docs, again, "left_semi")
+    judged = _with_prints(repeated, text, size)
+    own = F.struct(F.col(f"row.`{id}`").alias("doc"), F.col("print"))
+    winners = judged.filter("print IS NOT NULL").join(
+        stay.select(F.struct("doc", "print").alias("own")), own == F.col("own"), "left_semi")
+    # Of rows with the same id and text any one will do.
+    one = (winners.groupBy(F.col(f"row.`{id}`").alias("__id"), "print")
+           .agg(F.first("row").alias("row")).select("row.*"))
+    empty = judged.filter("print IS NULL").select("row.*")
+    return without(kept, again, "left_anti").unionByName(one).unionByName(empty)
+
+
+def _with_prints(docs: DataFrame, text: str, size: int) -> DataFrame:
+    """Rows of ``docs`` as structs, with the prints of their texts."""
+    cells = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
+                        F.col(text).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            prints = [_print(shingle_set(words_of(value.as_py()), size, hashes))
+                      for value in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary())],
+                                             names=["row", "print"])
+
+    schema = cells.select("row").schema.add("print", BinaryType())
+    return cells.mapInArrow(run, schema)

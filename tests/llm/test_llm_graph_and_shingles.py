@@ -106,16 +106,34 @@ def test_odd_rows_of_near_duplicates(spark):
     kept = neardup.keep_one(docs, size=3)
     assert kept.columns == docs.columns
     assert sorted((row.doc_id for row in kept.collect()), key=repr) == sorted(
-        [1, 2, 3, 4, 7, None, None, 19], key=repr)
+        [1, 2, 3, 4, 7, None, None, 19, 20], key=repr)
     empty = neardup.near_duplicates(docs.limit(0))
     assert empty.count() == 0 and empty.columns == ["doc_id", "n_shingles", "component_id", "kept"]
     assert neardup.keep_one(docs.limit(0)).count() == 0
 
 
-def test_one_document_stays_of_a_repeated_id(spark):
-    docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (1, "x y z"), (2, "k l m")],
-                                 "doc_id long, text string")
-    assert sorted(row.doc_id for row in neardup.keep_one(docs).collect()) == [1, 2]
+def test_no_text_is_lost_under_a_repeated_id(spark):
+    rows = [(1, "a b c"), (1, "a b c"), (1, "A  b c"), (1, "x y z"), (2, "k l m"), (1, ""),
+            (1, None), (3, "x y z"), (0, "k l m"), (5, "n o p"), (5, "n o p"), (None, "a b c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "1 AS print", "2 AS row", "'x' AS own")
+    for df in (docs, docs.repartition(7), docs.orderBy("text")):
+        kept = neardup.keep_one(df)
+        assert kept.columns == docs.columns
+        found = [(r.doc_id, (r.text or "").lower().split()) for r in kept.collect()]
+        assert sorted(found, key=repr) == sorted([
+            (1, "a b c".split()), (1, "x y z".split()), (0, "k l m".split()), (1, []), (1, []),
+            (5, "n o p".split()), (None, "a b c".split())], key=repr)
+
+
+def test_ids_of_text(spark):
+    rows = [(f"d{id:05}", text) for id, text in families(3)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = neardup.near_duplicates(docs, size=3, threshold=0.85)
+    assert dict(found.dtypes)["component_id"] == "string"
+    assert sorted(map(tuple, found.collect())) == plain_groups(rows, 3, 0.85)
+    left = {row.doc_id for row in neardup.keep_one(docs, size=3, threshold=0.85).collect()}
+    assert left == {row.doc_id for row in found.filter("kept").collect()}
 
 
 def test_estimate_is_near_the_similarity():
@@ -135,4 +153,18 @@ def test_estimate_is_near_the_similarity():
         found = neardup.estimates(one, other[None, :])[0]
         errors.append(abs(found - both / (4000 - both)))
     assert max(errors) < 0.2
-    assert 0.55 < neardup.estimate_floor(0.8) < 0.7
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.85])
+def test_floor_of_the_estimate(threshold):
+    from fractions import Fraction
+    from math import comb
+
+    equal = (1 + 3 * Fraction(str(threshold))) / 4
+    tails, total = [], Fraction(0)
+    for cells in range(neardup.HASHES + 1):
+        tails.append(total)
+        total += comb(neardup.HASHES, cells) * equal**cells * (1 - equal) ** (
+            neardup.HASHES - cells)
+    cells = round((neardup.estimate_floor(threshold) * 0.75 + 0.25) * neardup.HASHES)
+    assert tails[cells] <= 1e-10 < tails[cells + 1]
