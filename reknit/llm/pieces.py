@@ -112,18 +112,21 @@ def viterbi(text: str, vocabulary: Vocabulary, stride: int = STRIDE) -> Iterator
         place = start - done
         here = best[place]
         step, end = tree.get(text[start]), place + 1
+        reach = end
         if (step is None or step[2] < 0) and here + unknown > best[end]:
             best[end], start_of[end], id_of[end] = here + unknown, start, -1
         while step is not None:
             steps, score, id = step
-            if id >= 0 and here + score > best[end]:
-                best[end], start_of[end], id_of[end] = here + score, start, id
+            if id >= 0:
+                reach = end
+                if here + score > best[end]:
+                    best[end], start_of[end], id_of[end] = here + score, start, id
             if not steps or end + done == length:
                 break
             step = steps.get(text[end + done])
             end += 1
-        if end + done > furthest:
-            furthest = end + done
+        if reach + done > furthest:
+            furthest = reach + done
         if place < stride:
             continue
         # Do the paths of all ends that can still be continued pass one boundary?
