@@ -9,6 +9,7 @@ limit without looking at a document again.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -24,9 +25,34 @@ CELL = 1024
 # Fixed value: how the vocabulary's texts were cut before merging.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
+# White space of the pattern (the Unicode property). Runs from this length on are cut from the
+# text before the pattern sees them, as it goes back over a run character by character.
+_SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_SPACE = 1_000
+_LONG_SPACE = re.compile(f"[{_SPACE}]{{{LONG_SPACE},}}")
+
+
+def parts(text: str) -> Iterator[tuple[str, bool]]:
+    """A text in parts that are encoded apart, and whether the pattern cuts a part no further.
+
+    The pattern takes a run of white space up to its last character, which belongs to what
+    follows, or to its end where nothing follows; nothing before a run reaches into it. So a
+    run but its last character is one of the pattern's cuts, and the rest is as it would be.
+    """
+    begin = 0
+    for run in _LONG_SPACE.finditer(text) if len(text) >= LONG_SPACE else ():
+        end = run.end() - (run.end() < len(text))
+        yield text[begin:run.start()], False
+        yield text[run.start():end], True
+        begin = end
+    yield text[begin:], False
+
 
 class Coder:
-    """A byte-level BPE that is built where it is used first."""
+    """A byte-level BPE that is built where it is used first.
+
+    Texts are encoded whole, however long they are.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern, self._built = ranks, pattern, None
@@ -41,9 +67,11 @@ class Coder:
         import tiktoken
 
         if self._built is None:
-            self._built = tiktoken.Encoding("given", pat_str=self.pattern,
-                                            mergeable_ranks=self.ranks, special_tokens={})
-        return len(self._built.encode_ordinary(text))
+            self._built = [tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=self.ranks,
+                                             special_tokens={}).encode_ordinary
+                           for pattern in (self.pattern, r"[\s\S]+")]
+        pattern, whole = self._built
+        return sum(len((whole if uncut else pattern)(part)) for part, uncut in parts(text))
 
 
 def load_coder(path: str, pattern: str = PATTERN) -> Coder:
@@ -55,7 +83,7 @@ def load_coder(path: str, pattern: str = PATTERN) -> Coder:
 
 def encoded_lengths(docs: DataFrame, coder: Coder, text: str = "text",
                     by: Sequence[str] = ()) -> DataFrame:
-    """Per row ``by`` and its length in tokens; NULL and empty texts have 0."""
+    """Per row ``by`` and its length in tokens; NULL and empty texts have 0, long ones are whole."""
     shared = docs.sparkSession.sparkContext.broadcast(coder)
     rows = docs.select(*by, F.col(text).cast("string").alias("__text"))
 

@@ -1,5 +1,7 @@
 """Length histograms and licence scans against plain versions."""
 
+import random
+
 import pytest
 
 from reknit.llm import lengths, licenses
@@ -109,3 +111,29 @@ def test_full_texts_and_headers(spark):
         "g/long": ("GPL-3.0", "own"), "s/x.js": ("MIT", "own"), "p/y": (None, None),
         "b/COPYING": ("BSD-3-Clause", "own"), "b/z": ("BSD-3-Clause", "inherited"),
         **{f"t/{name}/LICENSE": (name, "own") for name in TEXTS}}
+
+
+def test_long_white_space_is_cut_where_the_pattern_cuts():
+    import tiktoken
+
+    coder = lengths.load_coder(RANKS)
+    plain = tiktoken.Encoding("plain", pat_str=lengths.PATTERN, mergeable_ranks=coder.ranks,
+                              special_tokens={})
+    draw = random.Random(4)
+    for _ in range(300):
+        text = "".join(draw.choice(["ab", "'s", " ", "\n", "\x85", "\x1c", "1", ".", "é", "  "])
+                       * draw.choice([1, 1, 1, lengths.LONG_SPACE - 1, lengths.LONG_SPACE, 1500])
+                       for _ in range(draw.randrange(1, 12)))
+        assert "".join(part for part, _ in lengths.parts(text)) == text
+        assert coder.length(text) == len(plain.encode_ordinary(text))
+
+
+@pytest.mark.parametrize("text", [
+    " " * 5_000_000, "\n" * 5_000_000 + "x", " \t" * 2_500_000 + " end", "a" * 5_000_000,
+    "7" * 2_000_000, "word " * 1_000_000])
+def test_very_long_texts(spark, text):
+    coder = lengths.load_coder(RANKS)
+    docs = spark.createDataFrame([(1, text), (2, "a b"), (3, None)], "doc_id long, text string")
+    found = {row.doc_id: row.length for row in lengths.encoded_lengths(
+        docs, coder, by=["doc_id"]).collect()}
+    assert found[1] == coder.length(text) > 1000 and found[2] == 2 and found[3] == 0
