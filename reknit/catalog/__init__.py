@@ -28,5 +28,5 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
     from reknit.catalog import (  # noqa: F401
-        documents, inserts, joins, links, merges, people, rows, scripts, sources, texts)
+        documents, inserts, joins, links, merges, people, rows, scripts, sources, texts, versions)
     return QUERIES, SQL

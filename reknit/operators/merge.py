@@ -152,6 +152,67 @@ def resolve_requests(requests: DataFrame) -> KeyMap:
     return KeyMap(rows, measure(rows))
 
 
+def judge_requests(requests: DataFrame) -> DataFrame:
+    """(step, old_id, new_id, reason) as if every request were applied, or refused, on its own.
+
+    In the order of their steps (then of their ids) requests are refused that merge an id into
+    itself, are incomplete, or name an id that a request applied before them has merged away;
+    NULL stands for those that are applied. A refused request does not count for later ones.
+
+    A request waits for the earlier ones that merge one of its two ids away. Each round decides
+    all that wait for none that is open, so that most files take one round, and at most as many
+    as the longest run of requests that wait for each other.
+    """
+    requests = requests.select(
+        *[F.col(name).cast("long").alias(name) for name in ("step", "old_id", "new_id")])
+    reason = F.when(F.col("old_id").isNull() | F.col("new_id").isNull() | F.col("step").isNull(),
+                    "incomplete").when(F.col("old_id") == F.col("new_id"), "merged into itself")
+    placed = materialize(number_rows(requests, ["step", "old_id", "new_id"], "place")
+                         .withColumn("reason", reason), "placed")
+    decided = [placed.filter("reason IS NOT NULL")]
+    open_ = placed.filter("reason IS NULL")
+    # The first request that merged an id away, and the first one that may yet do so.
+    applied = open_.limit(0).select(F.col("old_id").alias("id"), F.col("place").alias("gone"))
+    while True:
+        firsts = open_.groupBy(F.col("old_id").alias("id")).agg(F.min("place").alias("first"))
+        known = firsts.join(applied, "id", "full")
+        sides = [own_shuffle(known.select(F.col("id").alias(f"{side}_id"),
+                                          F.col("first").alias(f"{side}_first"),
+                                          F.col("gone").alias(f"{side}_gone")), [f"{side}_id"])
+                 for side in ("old", "new")]
+        met = open_.join(sides[0], "old_id", "left").join(sides[1], "new_id", "left")
+        place = F.col("place")
+        waiting = F.col("old_first") < place
+        verdict = F.when(F.col("old_gone") < place, "merged away earlier").when(
+            ~waiting & (F.col("new_gone") < place), "survivor merged away earlier").when(
+            ~waiting & (F.coalesce(F.col("new_first"), place) >= place), "applied")
+        judged = materialize(met.withColumn("verdict", verdict).select(
+            *placed.columns, "verdict"), "judged")
+        decided.append(judged.filter("verdict IS NOT NULL").withColumn(
+            "reason", F.nullif("verdict", F.lit("applied"))).select(*placed.columns))
+        open_ = judged.filter("verdict IS NULL").select(*placed.columns)
+        if open_.isEmpty():
+            break
+        fresh = judged.filter("verdict = 'applied'").select(
+            F.col("old_id").alias("id"), F.col("place").alias("gone"))
+        # Only what the open requests name is looked at in the next round.
+        named = open_.select(F.explode(F.array("old_id", "new_id")).alias("id")).distinct()
+        applied = materialize(applied.unionByName(fresh).join(named, "id", "left_semi"), "applied")
+    return reduce(DataFrame.unionByName, decided).select("step", "old_id", "new_id", "reason")
+
+
+def resolve_valid(requests: DataFrame) -> tuple[KeyMap, DataFrame]:
+    """The map of the requests that can be applied, and the others with their reasons.
+
+    Requests that share a step are taken in the order of their ids.
+    """
+    judged = materialize(judge_requests(requests), "verdicts")
+    valid = judged.filter("reason IS NULL").select("step", "old_id", "new_id")
+    ordered = number_rows(valid, ["step", "old_id", "new_id"], "n", unique=True).select(
+        F.col("n").alias("step"), "old_id", "new_id")
+    return resolve_requests(ordered), judged.filter("reason IS NOT NULL")
+
+
 def _rekey(df: DataFrame, key: str, keymap: KeyMap) -> DataFrame:
     """The table with ``key`` replaced, plus the priority of the id it had (NULL if unnamed)."""
     ids = keymap.joinable().select(F.col("id").alias("__id"), F.col("survivor").alias("__survivor"),
@@ -161,9 +222,13 @@ def _rekey(df: DataFrame, key: str, keymap: KeyMap) -> DataFrame:
     return joined.withColumn(key, new).drop("__id", "__survivor")
 
 
-def merge_links(df: DataFrame, key: str, compare: Sequence[str], keymap: KeyMap) -> DataFrame:
+def merge_links(df: DataFrame, key: str, compare: Sequence[str], keymap: KeyMap,
+                whole: DataFrame | None = None) -> DataFrame:
     """Re-key a link table, dropping rows the survivor already has.
 
+    ``df`` may be a part of a table ``whole`` that holds all rows of merged ids: what they
+    collide with may be elsewhere.
+
     Rows collide when they end on the same survivor with equal ``compare`` columns, none of
     them NULL. Of colliding rows, those of the id that reached the survivor first stay.
 
@@ -173,10 +238,11 @@ def merge_links(df: DataFrame, key: str, compare: Sequence[str], keymap: KeyMap)
     meet them.
     """
     rekeyed = _rekey(df, key, keymap)
+    everything = rekeyed if whole is None else _rekey(whole, key, keymap)
     group = [key, *compare]
     names = [f"__g{i}" for i in range(len(group))]
     contested = materialize(
-        rekeyed.filter(F.col("__prio").isNotNull()).dropna(subset=list(compare))
+        everything.filter(F.col("__prio").isNotNull()).dropna(subset=list(compare))
         .groupBy(*group).agg(F.min("__prio").alias("__kept"), F.max("__prio").alias("__last"))
         .filter("__kept < __last").drop("__last").toDF(*names, "__kept"), "contested")
     size = measure(contested)

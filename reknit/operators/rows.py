@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,14 @@ log = logging.getLogger(__name__)
 Snapshot = dict[str, DataFrame]
 
 
+@dataclass(frozen=True)
+class Rewrite:
+    """A table of which only some files are replaced: the files that stay, and the new rows."""
+
+    kept: list[str]
+    part: DataFrame
+
+
 def append(target: DataFrame, new: DataFrame, defaults: Mapping[str, Column] | None = None
            ) -> DataFrame:
     """Append by column name; columns the new rows lack take their default, else NULL."""

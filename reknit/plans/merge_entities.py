@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from reknit.operators.merge import KeyRule, LinkRule, MergeSpec, apply_merges
+from reknit.operators.merge import (
+    KeyMap, KeyRule, LinkRule, MergeSpec, merge_snapshot, resolve_requests, resolve_valid)
+from reknit.operators.references import ForeignKey
 from reknit.operators.rows import Snapshot
 from reknit.session import job_scratch
-from reknit.sources.publish import publish
+from reknit.sources.publish import Published, publish
 from reknit.sources.requests import merge_requests, read_merge_requests
+from reknit.sources.touched import merge_touched
 
 # The tables that refer to a person.
 PEOPLE = MergeSpec(
@@ -69,20 +72,43 @@ ORGANISMS = MergeSpec(
 
 
 def merge_from_file(spark: SparkSession, snapshot: Snapshot, spec: MergeSpec, path: str,
-                    root: str) -> str:
+                    root: str, references: Iterable[ForeignKey] = ()) -> str:
     """Apply a request file and publish the merged snapshot; returns the version.
 
-    Tables that the merge leaves alone are shared with the version the snapshot was read from,
-    and nothing stays in the scratch folder.
+    Of a published snapshot only files with merged ids are written again, and the rest is shared
+    with the version it was read from. With ``references`` nothing is published that would leave
+    rows behind which refer to an entity merged away. Nothing stays in the scratch folder.
     """
     with job_scratch(spark):
-        return publish(spark, apply_merges(snapshot, spec, read_merge_requests(spark, path)), root,
-                       snapshot)
+        keymap = resolve_requests(read_merge_requests(spark, path))
+        return _publish(spark, snapshot, spec, keymap, root, references)
 
 
 def merge_from_arguments(spark: SparkSession, snapshot: Snapshot, spec: MergeSpec,
-                         pairs: Iterable[tuple[int, str]], root: str) -> str:
+                         pairs: Iterable[tuple[int, str]], root: str,
+                         references: Iterable[ForeignKey] = ()) -> str:
     """The same for (survivor, comma list of old ids) pairs."""
     with job_scratch(spark):
-        return publish(spark, apply_merges(snapshot, spec, merge_requests(spark, pairs)), root,
-                       snapshot)
+        keymap = resolve_requests(merge_requests(spark, pairs))
+        return _publish(spark, snapshot, spec, keymap, root, references)
+
+
+def merge_what_can_be(spark: SparkSession, snapshot: Snapshot, spec: MergeSpec,
+                      requests: DataFrame, root: str, refused_to: str,
+                      references: Iterable[ForeignKey] = ()) -> str:
+    """Apply the requests that can be applied, and write the others, with reasons, to a folder."""
+    with job_scratch(spark):
+        keymap, refused = resolve_valid(requests)
+        refused.write.parquet(refused_to)
+        return _publish(spark, snapshot, spec, keymap, root, references)
+
+
+def _publish(spark: SparkSession, snapshot: Snapshot, spec: MergeSpec, keymap: KeyMap, root: str,
+             references: Iterable[ForeignKey]) -> str:
+    if isinstance(snapshot, Published) and snapshot.root == root.rstrip("/"):
+        merged, rewrites = merge_touched(snapshot, spec, keymap)
+    else:
+        merged, rewrites = merge_snapshot(snapshot, spec, keymap), {}
+    # What a merge leaves alone may still decide what it drops.
+    reads = [rule.table for rule in [*spec.keys, *spec.links]] + [spec.table]
+    return publish(spark, merged, root, snapshot, rewrites, references=references, reads=reads)

@@ -36,8 +36,8 @@ def test_untouched_tables_are_shared_and_scratch_is_empty(spark, frame, rows, tm
     assert files_below(scratch) == left
     fresh = set(files_below(root)) - set(before)
     assert fresh and not any("/other/" in path for path in fresh)
-    assert done.folders["other"] == read_published(
-        spark, root, published_versions(spark, root)[0]).folders["other"]
+    assert done.files["other"] == read_published(
+        spark, root, published_versions(spark, root)[0]).files["other"]
     assert published_versions(spark, root)[-1] == version
 
 
