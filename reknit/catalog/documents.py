@@ -175,3 +175,41 @@ def enriched_documents_strict(spark, folder):
     return enrich_json(_documents(spark, folder), _named_lines(spark, folder), "l_orderkey",
                        "l_linenumber", "p_name", json_text("doc", "origin", "index").cast("long"),
                        "doc", ["origin", "project"], "items", merge=True, strict_null=True)
+
+
+@query("""
+SELECT event_id,
+  json_extract(doc, '$.a[0].b')::VARCHAR AS first,
+  json_extract_string(doc, '$.a[#-1].b') AS last,
+  json_extract(doc, '$.a[2]')::VARCHAR AS beyond,
+  json_extract(doc, '$.n."0"')::VARCHAR AS named,
+  '{"a":[{"b":' || user_id || '},{"b":7}],"n":{"0":"zero"}}' AS inner_set,
+  '{"a":[{"b":' || user_id || '},{"b":"' || event_type || '"},7],"n":{"0":"zero"}}' AS appended,
+  '{"a":[7,{"b":' || user_id || '},{"b":"' || event_type || '"}],"n":{"0":"zero"}}' AS put_first,
+  '{"a":[{"b":' || user_id || '},7],"n":{"0":"zero"}}' AS replaced,
+  doc AS no_parent,
+  '[' || user_id || ',"' || event_type || '",' || event_id || ']' AS joined
+FROM (SELECT *, '{"a":[{"b":' || user_id || '},{"b":"' || event_type || '"}],"n":{"0":"zero"}}' AS doc
+      FROM events)
+""")
+def json_array_paths(spark, folder):
+    """Elements of arrays by position, forwards and backwards, read and set."""
+    def item(value):
+        return F.to_json(F.struct(F.col(value).alias("b")))
+
+    doc = F.concat(F.lit('{"a":['), item("user_id"), F.lit(","), item("event_type"),
+                   F.lit('],"n":{"0":"zero"}}'))
+    rows = table(spark, folder, "events").select("event_id", "user_id", "event_type",
+                                                 doc.alias("doc"))
+    seven = F.lit("7")
+    pair = F.concat(F.lit("["), "user_id", F.lit(',"'), "event_type", F.lit('"]'))
+    return rows.select(
+        "event_id", json_typed("doc", "a", 0, "b").alias("first"),
+        json_text("doc", "a", "-1", "b").alias("last"), json_typed("doc", "a", 2).alias("beyond"),
+        json_typed("doc", "n", 0).alias("named"),
+        json_set("doc", ["a", 1, "b"], seven).alias("inner_set"),
+        json_set("doc", ["a", 5], seven).alias("appended"),
+        json_set("doc", ["a", "-3"], seven).alias("put_first"),
+        json_set("doc", ["a", -1], seven).alias("replaced"),
+        json_set("doc", ["a", 2, "b"], seven).alias("no_parent"),
+        json_merge(pair, F.col("event_id").cast("string")).alias("joined"))

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date
-from functools import reduce
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reknit.catalog import query, table
+from reknit.operators import quality
+from reknit.operators.merge import merge_fk, resolve_requests
 from reknit.operators.people import assign_group
-from reknit.operators.quality import import_total
 from reknit.plans import taxon_lists
 from reknit.plans.reconcile_partner import group_by_name, organism_by_uuid
 from reknit.sources.requests import merge_requests
@@ -18,19 +18,19 @@ from reknit.sources.tables import stage
 
 
 @query("""
-WITH named AS (SELECT n_regionkey, n_nationkey,
-                      min(n_nationkey) OVER (PARTITION BY n_regionkey) AS first FROM nation)
-SELECT row_number() OVER (ORDER BY n_regionkey, n_nationkey) AS step,
-       n_nationkey::BIGINT AS old_id, first::BIGINT AS new_id
-FROM named WHERE n_nationkey <> first
+SELECT o_orderkey, c_custkey,
+       CASE WHEN c_nationkey IN (5, 14, 15) THEN 0 WHEN c_nationkey IN (2, 3) THEN 1
+            WHEN c_nationkey = 24 THEN 17 ELSE c_nationkey END AS c_nationkey
+FROM orders JOIN customer ON c_custkey = o_custkey
 """)
 def requests_from_arguments(spark, folder):
-    """As given on a command line: of each region the first nation takes the others."""
-    regions = (table(spark, folder, "nation").groupBy("n_regionkey")
-               .agg(F.sort_array(F.collect_list("n_nationkey")).alias("keys"))
-               .orderBy("n_regionkey").collect())
-    return merge_requests(spark, [(row["keys"][0], ", ".join(map(str, row["keys"][1:])))
-                                  for row in regions])
+    """Nations merged as on a command line, in the orders of their customers."""
+    arguments = [(0, "5, 14,15"), (1, " 2, 3"), (17, "24")]
+    keymap = resolve_requests(merge_requests(spark, arguments))
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return orders.join(merge_fk(customers, "c_nationkey", keymap),
+                       F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey")
 
 
 @query("""
@@ -106,7 +106,7 @@ def rows_by_uuid_and_name(spark, folder):
         F.col("c_custkey").alias("id_role"), F.col("c_mktsegment").alias("nom_role"),
         (F.col("c_custkey") % 2 == 0).alias("groupe"))
     # The UUID of a stated name, as a script would hold it.
-    uuid = spark.range(1).select(F.md5(F.lit("Supplier#000000003"))).first()[0]
+    uuid = hashlib.md5(b"Supplier#000000003").hexdigest()
     return table(spark, folder, "nation").select(
         "n_nationkey", organism_by_uuid(organisms, uuid).alias("organism"),
         group_by_name(roles, "MACHINERY").alias("people"),
@@ -114,16 +114,13 @@ def rows_by_uuid_and_name(spark, folder):
 
 
 @query("""
-SELECT o_orderstatus AS action, count(*) AS total FROM orders
-WHERE o_orderstatus IN ('F', 'O') GROUP BY 1
+SELECT a AS action, count(o_orderkey) AS total
+FROM (VALUES ('F'), ('O'), ('none')) AS actions(a) LEFT JOIN orders ON o_orderstatus = a GROUP BY a
 """)
 def import_totals(spark, folder):
-    """Rows of an import table with a given last action."""
+    """Rows of an import table per last action asked for."""
     orders = table(spark, folder, "orders").select(F.col("o_orderstatus").alias("meta_last_action"))
-    return reduce(DataFrame.union, [
-        orders.limit(1).select(F.lit(action).alias("action"), F.lit(import_total(
-            {"gn_imports.orders": orders}, "orders", action)).cast("long").alias("total"))
-        for action in ("F", "O")])
+    return quality.import_totals(orders, ["F", "O", "none"])
 
 
 @query("""

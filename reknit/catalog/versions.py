@@ -6,13 +6,18 @@ from pyspark.sql import functions as F
 
 from reknit.catalog import query, table
 from reknit.catalog.merges import first_of_block
-from reknit.operators.merge import LinkRule, MergeSpec, judge_requests, merge_snapshot, resolve_requests
+from reknit.operators.joins import lookup_types, unresolved_codes
+from reknit.operators.keys import number_rows
+from reknit.operators.merge import (
+    KeyRule, LinkRule, MergeSpec, judge_requests, merge_snapshot, resolve_requests)
 from reknit.operators.references import ForeignKey, dangling, left_behind
 from reknit.operators.rows import append, delete_where
 from reknit.operators.sequences import counter_of, draw_ids
 from reknit.plans.merge_entities import merge_what_can_be
 from reknit.session import scratch_path
+from reknit.sources.imports import run_import
 from reknit.sources.publish import publish, read_published
+from reknit.sources.tables import read_with_rejects
 from reknit.sources.touched import merge_touched, set_where_touched, update_from_touched
 
 SPEC = MergeSpec("customer", "c_custkey",
@@ -185,8 +190,6 @@ UNION ALL SELECT step, old_id, reason FROM walk WHERE n > 0 AND reason IS NOT NU
 """)
 def merge_of_valid_requests(spark, folder):
     """A file with contradictory requests: what can be merged is, and the rest is written down."""
-    from reknit.operators.merge import KeyRule
-
     root, refused = scratch_path(spark, "versions"), scratch_path(spark, "refused")
     spec = MergeSpec("customer", "c_custkey", keys=[KeyRule("orders", "o_custkey")])
     requests = contradictory_requests(table(spark, folder, "customer"))
@@ -240,3 +243,118 @@ def two_writers_on_one_base(spark, folder):
     done = read_published(spark, root)
     return (done["orders"].join(done["customer"], F.col("c_custkey") == F.col("o_custkey"))
             .select("o_orderkey", "o_orderpriority", "c_name", "c_acctbal"))
+
+
+@query("""
+SELECT c_custkey, upper(c_mktsegment) AS segment, n_name
+FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey
+""")
+def import_in_steps(spark, folder):
+    """An import that is stopped after its second step, and run again."""
+    root = scratch_path(spark, "import")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    begun = []
+
+    def work(part):
+        begun.append(part)
+        if len(begun) == 3:
+            raise InterruptedError("stopped on purpose")
+        return (part.join(F.broadcast(nations), F.col("n_nationkey") == F.col("c_nationkey"), "left")
+                .select("c_custkey", F.upper("c_mktsegment").alias("segment"), "n_name"))
+
+    # Twelve steps, whatever the number of customers.
+    size = max(1, -(-customers.count() // 12))
+    try:
+        run_import(spark, customers, ["c_custkey"], work, root, size, unique=True)
+    except InterruptedError:
+        pass
+    return run_import(spark, customers, ["c_custkey"], work, root, size, unique=True)
+
+
+@query("""
+SELECT 'row' AS kind, o_orderkey::VARCHAR AS a, o_totalprice::DECIMAL(15, 2)::VARCHAR AS b FROM orders
+WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'
+UNION ALL
+SELECT 'reject', concat(o_orderkey, ',', o_orderstatus, ',', o_orderpriority), NULL
+FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority <> '5-LOW'
+UNION ALL SELECT 'reject', concat(o_orderkey, ',', o_orderstatus, ',1,x'), NULL
+FROM orders WHERE o_orderpriority = '5-LOW'
+""")
+def rejected_records(spark, folder):
+    """A file in which some records lack a number or have a field too many."""
+    path = scratch_path(spark, "records")
+    orders = table(spark, folder, "orders")
+    line = F.concat_ws(",", F.col("o_orderkey"), "o_orderstatus", F.when(
+        F.col("o_orderpriority") == "5-LOW", "1,x").when(
+        F.col("o_orderstatus") == "P", F.col("o_orderpriority")).otherwise(
+        F.col("o_totalprice").cast("string")))
+    header = orders.limit(1).select(F.lit("id,status,price").alias("value"))
+    header.coalesce(1).write.text(f"{path}/header")
+    orders.select(line.alias("value")).write.text(f"{path}/lines")
+    # Every file of a folder has the header.
+    text = spark.read.text(f"{path}/header").union(
+        spark.read.text(f"{path}/lines").coalesce(1)).coalesce(1)
+    text.write.text(f"{path}/all")
+    good, rejects = read_with_rejects(spark, f"{path}/all",
+                                      "id long, status string, price decimal(15,2)")
+    return good.select(F.lit("row").alias("kind"), F.col("id").cast("string").alias("a"),
+                       F.col("price").cast("string").alias("b")).union(
+        rejects.select(F.lit("reject"), "record", F.lit(None).cast("string")))
+
+
+TYPED = """
+WITH codes AS (
+  SELECT 'status' AS kind, o_orderstatus AS code FROM orders WHERE o_orderstatus <> 'P'
+  UNION SELECT 'priority', o_orderpriority FROM orders
+  UNION SELECT 'mode', l_linestatus FROM lineitem UNION SELECT 'flag', l_returnflag FROM lineitem
+  UNION SELECT 'mode', l_returnflag FROM lineitem),
+ids AS (SELECT *, row_number() OVER (ORDER BY kind, code) AS id FROM codes)
+"""
+
+
+@query(TYPED + """
+SELECT l_orderkey, l_linenumber, s.id AS status, p.id AS priority, m.id AS mode, f.id AS flag,
+       r.id AS returned, c.id AS other
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+LEFT JOIN ids s ON s.kind = 'status' AND s.code = o_orderstatus
+LEFT JOIN ids p ON p.kind = 'priority' AND p.code = o_orderpriority
+LEFT JOIN ids m ON m.kind = 'mode' AND m.code = l_linestatus
+LEFT JOIN ids f ON f.kind = 'flag' AND f.code = l_returnflag
+LEFT JOIN ids r ON r.kind = 'mode' AND r.code = l_returnflag
+LEFT JOIN ids c ON c.kind = 'none' AND c.code = l_returnflag
+""")
+def six_typed_lookups(spark, folder):
+    """Six columns of codes from one dimension, without a join for each."""
+    found, columns = _typed(spark, folder)
+    return found.select("l_orderkey", "l_linenumber", *columns)
+
+
+@query(TYPED + """
+SELECT 'status' AS kind, 'P' AS code, count(*) AS rows
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'P' HAVING count(*) > 0
+UNION ALL SELECT 'none', l_returnflag, count(*)
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_returnflag
+""")
+def unresolved_typed_codes(spark, folder):
+    return unresolved_codes(*_typed(spark, folder))
+
+
+def _typed(spark, folder):
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+
+    def codes(kind, df, code):
+        return df.select(F.lit(kind).alias("kind"), F.col(code).alias("code")).distinct()
+
+    dimension = number_rows(
+        codes("status", orders.filter("o_orderstatus <> 'P'"), "o_orderstatus")
+        .union(codes("priority", orders, "o_orderpriority")).union(codes("mode", lines, "l_linestatus"))
+        .union(codes("flag", lines, "l_returnflag")).union(codes("mode", lines, "l_returnflag"))
+        .distinct(), ["kind", "code"], "id", unique=True)
+    columns = {"status": ("status", "o_orderstatus"), "priority": ("priority", "o_orderpriority"),
+               "mode": ("mode", "l_linestatus"), "flag": ("flag", "l_returnflag"),
+               "returned": ("mode", "l_returnflag"), "other": ("none", "l_returnflag")}
+    rows = lines.select("l_orderkey", "l_linenumber", "l_linestatus", "l_returnflag").join(
+        orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"),
+        F.col("o_orderkey") == F.col("l_orderkey"))
+    return lookup_types(rows, dimension, "kind", "code", "id", columns), columns

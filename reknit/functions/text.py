@@ -77,9 +77,9 @@ def replace_first(value: Column | str, pattern: str, replacement: str = "") -> C
 
 
 def search_group(value: Column | str, pattern: str, ignore_case: bool = True) -> Column:
-    """Group 1 of the first match, NULL without one."""
-    flags = "(?iu)" if ignore_case else ""
-    return blank_to_null(F.regexp_extract(_col(value), flags + pattern, 1))
+    """Group 1 of the first match, NULL without one; a group may match an empty text."""
+    pattern = ("(?iu)" if ignore_case else "") + pattern
+    return F.when(_col(value).rlike(pattern), F.regexp_extract(_col(value), pattern, 1))
 
 
 def iso_date(value: Column | str, strict: bool = True) -> Column:

@@ -6,7 +6,7 @@ key can then only sit on the other side, where AQE splits it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +16,9 @@ from reknit.session import BROADCAST_BYTES, broadcast_if_small, materialize, mea
 
 Pair = tuple[Column | str, Column | str]
 
+# A type of a dimension with more codes than this is joined, not packed into a map.
+PACKED_CODES = 1_000
+
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -186,6 +189,52 @@ def lookup(df: DataFrame, dimension: DataFrame, on, value: str, out: str,
     return keyed.join(side, keys, "left").withColumn(out, F.col("__value")).drop("__value", *keys)
 
 
+def lookup_types(df: DataFrame, dimension: DataFrame, kind: str, code: str, value: str,
+                 columns: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Ids for several columns from one dimension of typed codes, without a join per column.
+
+    ``columns`` names, per column to add, the type (column ``kind`` of the dimension) and the
+    column that holds the code. NULL where there is no such code; the smallest id if several.
+    The codes of the wanted types are counted, and packed into one row with a map per type, a
+    scalar subquery that needs no join. Types of more than ``PACKED_CODES`` codes, where a map
+    would be slow, are looked up by a join per column.
+    """
+    kinds = sorted({kind for kind, _ in columns.values()})
+    codes = materialize(
+        dimension.filter(F.col(kind).isin(kinds) & F.col(code).isNotNull())
+        .groupBy(F.col(kind).alias("__kind"), F.col(code).alias("__code"))
+        .agg(F.min(value).alias("__value")), "codes")
+    sizes = {row['__kind']: row.n for row in
+             codes.groupBy("__kind").agg(F.count("*").alias("n")).collect()}
+    small = [k for k in kinds if sizes.get(k, 0) <= PACKED_CODES]
+    packed = {out: pair for out, pair in columns.items() if pair[0] in small}
+    found = df
+    if packed:
+        def of(k: str) -> Column:
+            return F.map_from_entries(F.collect_list(
+                F.when(F.col("__kind") == k, F.struct("__code", "__value"))))
+
+        pack = codes.agg(F.struct(*(of(k).alias(f"m{i}") for i, k in enumerate(small)))
+                         .alias("pack")).scalar()
+        found = found.select("*", *(
+            F.try_element_at(pack[f"m{small.index(k)}"], F.col(held)).alias(out)
+            for out, (k, held) in packed.items()))
+    for out, (k, held) in columns.items():
+        if out not in packed:
+            found = lookup(found, codes.filter(F.col("__kind") == k), [(held, "__code")],
+                           "__value", out)
+    return found.select(*df.columns, *columns)
+
+
+def unresolved_codes(found: DataFrame, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """(kind, code, rows) of the codes for which ``lookup_types`` has found no id, in one pass."""
+    cells = F.array(*(F.when(F.col(held).isNotNull() & F.col(out).isNull(), F.struct(
+        F.lit(kind).alias("kind"), F.col(held).cast("string").alias("code")))
+        for out, (kind, held) in columns.items()))
+    return (found.select(F.explode(F.array_compact(cells)).alias("cell"))
+            .groupBy("cell.kind", "cell.code").agg(F.count("*").alias("rows")))
+
+
 def scalar_lookup(dimension: DataFrame, condition: Column, value: str) -> Column:
     """The id of one dimension row as a scalar subquery: NULL without a row, else the smallest."""
     return dimension.filter(condition).agg(F.min(value)).scalar()
@@ -203,11 +252,13 @@ def translate_ids(children: DataFrame, parents: DataFrame, targets: DataFrame, p
                   natural_key: str) -> DataFrame:
     """Re-point children from source parents to target parents through a shared natural key.
 
-    Children whose parent has no counterpart are dropped. The bridge between the parents is
-    written and measured, so that the children are not shuffled to meet a small one.
+    Children whose parent has no counterpart are dropped. Where target parents share a natural
+    key, the smallest one takes the children. The bridge between the parents is written and
+    measured, so that the children are not shuffled to meet a small one.
     """
-    bridge = parents.select(F.col(parent_id).alias("__source"), natural_key).join(
-        targets.select(F.col(parent_id).alias("__target"), natural_key), natural_key)
+    smallest = targets.groupBy(natural_key).agg(F.min(parent_id).alias("__target"))
+    bridge = parents.select(F.col(parent_id).alias("__source"), natural_key).distinct().join(
+        smallest, natural_key).groupBy("__source").agg(F.min("__target").alias("__target"))
     bridge = measured(bridge.select("__source", "__target"), ["__source"])
     return (children.join(bridge, F.col(parent_id) == F.col("__source"))
             .withColumn(parent_id, F.col("__target")).drop("__source", "__target"))

@@ -64,6 +64,7 @@ def allocate_ids(new: DataFrame, target: DataFrame, id: str, order: Sequence[str
     target counts as max = 0.
     """
     last = target.agg(F.coalesce(F.max(id), F.lit(0))).scalar()
-    new = new.drop(id)
+    # Range partitioning runs what is before it once more to find its bounds.
+    new = materialize(new.drop(id), "unnumbered")
     numbered = number_rows(new, order, "__n", unique)
     return numbered.select((last + F.lit(gap) + F.col("__n")).alias(id), *new.columns)

@@ -43,6 +43,15 @@ def import_total(source: SparkSession | Snapshot, table: str, action: str,
     return df.filter(F.col(ACTION) == action).count()
 
 
+def import_totals(df: DataFrame, actions: Sequence[str], column: str = ACTION) -> DataFrame:
+    """(action, total) for each of the actions in one aggregation, 0 where no row has it."""
+    counts = df.agg(*(F.count_if(F.col(column) == action).alias(f"n{k}")
+                      for k, action in enumerate(actions)))
+    return counts.select(F.inline(F.array(*(
+        F.struct(F.lit(action).alias("action"), F.col(f"n{k}").alias("total"))
+        for k, action in enumerate(actions)))))
+
+
 def import_step(total: Column | str) -> Column:
     """The batch size for a number of pending rows; NULL for NULL."""
     total = F.col(total) if isinstance(total, str) else total

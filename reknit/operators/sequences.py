@@ -43,7 +43,8 @@ def draw_ids(new: DataFrame, counter: Counter, id: str, order: Sequence[str],
     Ids of rows that were deleted since, even the largest ones, do not come back, as long as
     the counter is published with the table. An ``id`` column that the rows have is replaced.
     """
-    rows = materialize(number_rows(new.drop(id), order, "__n", unique), "drawn")
+    rows = materialize(number_rows(materialize(new.drop(id), "unnumbered"), order, "__n", unique),
+                       "drawn")
     after = counter.advance(rows.count())
     numbered = rows.select((F.lit(counter.next - 1) + F.col("__n")).alias(id),
                            *[name for name in new.columns if name != id])

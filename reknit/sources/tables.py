@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType
 
+from reknit.session import materialize
+
 Schema = StructType | str
 
+# Holds the text of a record that does not fit, while it is read.
+RECORD = "__record"
+
 
 def read_tables(spark: SparkSession, folder: str, names: Iterable[str], format: str = "parquet",
                 schemas: Mapping[str, Schema] | None = None) -> dict[str, DataFrame]:
@@ -73,6 +78,35 @@ def read_delimited(spark: SparkSession, path: str, schema: Schema, sep: str = ",
         *[F.col(f"`{name}`") for name in schema.names])
 
 
+def read_with_rejects(spark: SparkSession, path: str, schema: Schema, sep: str = ","
+                      ) -> tuple[DataFrame, DataFrame]:
+    """The rows of a delimited file that fit, and the others as (file, record).
+
+    As ``read_delimited``, but a record that does not fit is set aside as it stands in its file:
+    one with too few or too many fields or with a value of another type. Together they are all
+    records; what has been parsed is written to the scratch folder, and both read that.
+    """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = spark.read.csv(path, sep=sep, header=True, encoding="UTF-8").columns
+    absent = [name for name in schema.names if name not in header]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    ordered = StructType([
+        *(schema[name] if name in schema.names else StructField(name, StringType())
+          for name in header), StructField(RECORD, StringType())])
+    found = spark.read.csv(path, sep=sep, header=True, schema=ordered, encoding="UTF-8",
+                           mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD,
+                           enforceSchema=False)
+    # Read once, with all its columns: a record of which only some are looked at may fit.
+    parsed = materialize(found.select(
+        *(F.col(f"`{name}`") for name in dict.fromkeys([*schema.names, *header])), RECORD,
+        F.col("_metadata.file_path").alias(f"{RECORD}_file")), "parsed")
+    fits = F.col(RECORD).isNull()
+    return (parsed.filter(fits).select(*(F.col(f"`{name}`") for name in schema.names)),
+            parsed.filter(~fits).select(F.col(f"{RECORD}_file").alias("file"),
+                                        F.col(RECORD).alias("record")))
+
+
 def diff_schema(left: str, right: str) -> str:
     """The columns of a difference list between two named databases."""
     return (f"{left}_id_zp long, {right}_id_zp long, {left}_cd_nom long, {right}_cd_nom long, "

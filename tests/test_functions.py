@@ -124,3 +124,33 @@ def test_qualify_rejects(name):
 
 def test_quote():
     assert quote("a", "b`c") == "`a`.`b``c`"
+
+
+def test_array_steps_in_paths(spark):
+    """Elements by position, from either end; names where there is an object."""
+    documents = ['{"a":[1,[2,{"x":null}],"s"],"0":{"1":5}}', "[10,20,30]", "[]", '{"a":5}', "null",
+                 None, '{"a":[]}']
+    df = spark.createDataFrame([(d,) for d in documents], "d string")
+
+    def all_of(column):
+        return [row[0] for row in df.select(column).collect()]
+
+    one, seven = F.lit("1"), documents
+    assert all_of(d.json_typed("d", "a", 1, 1, "x")) == ["null"] + [None] * 6
+    assert all_of(d.json_text("d", "a", 1, 1, "x")) == [None] * 7
+    assert all_of(d.json_typed("d", "0", "1")) == ["5"] + [None] * 6
+    assert all_of(d.json_text("d", -1)) == [None, "30"] + [None] * 5
+    assert all_of(d.json_text("d", -4)) == [None] * 7
+    first = '{"0":{"1":5},"a":[1,[2,{"x":null}],"s"]}'
+    same = [first, *seven[1:]]
+    assert all_of(d.json_set("d", ["a", 1, 0], one)) == [
+        '{"0":{"1":5},"a":[1,[1,{"x":null}],"s"]}', *seven[1:]]
+    assert all_of(d.json_set("d", ["a", 9, "x"], one)) == same
+    assert all_of(d.json_set("d", ["a", "k"], one)) == same
+    assert all_of(d.json_set("d", ["a", 9], one)) == [
+        '{"0":{"1":5},"a":[1,[2,{"x":null}],"s",1]}', *seven[1:6], '{"a":[1]}']
+    assert all_of(d.json_set("d", ["a", -9], one))[0] == '{"0":{"1":5},"a":[1,1,[2,{"x":null}],"s"]}'
+    assert all_of(d.json_set("d", [1], one))[1:3] == ["[10,1,30]", "[1]"]
+    assert all_of(d.json_merge("d", F.lit("[1]"))) == [
+        f"[{first},1]", "[10,20,30,1]", "[1]", '[{"a":5},1]', "[null,1]", None, '[{"a":[]},1]']
+    assert all_of(d.json_merge("d", F.lit("3")))[:5] == [None, "[10,20,30,3]", "[3]", None, "[null,3]"]

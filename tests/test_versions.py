@@ -6,12 +6,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from reknit.operators import joins
 from reknit.operators.merge import KeyRule, LinkRule, MergeSpec, judge_requests, resolve_requests
 from reknit.operators.references import ForeignKey, dangling
 from reknit.operators.sequences import Counter, counter_of, draw_ids
 from reknit.plans.merge_entities import merge_from_arguments, merge_what_can_be
+from reknit.sources.imports import finished_steps, run_import
 from reknit.sources.publish import (
     ConflictError, DanglingError, publish, published_versions, read_published)
+from reknit.sources.tables import read_with_rejects
 from reknit.sources.touched import (
     files_holding, merge_touched, set_where_touched, update_from_touched)
 
@@ -218,3 +221,53 @@ def test_ids_never_come_back(spark, frame, rows, tmp_path):
     assert Counter().set(41).next == 42 and Counter().set(41, False).next == 41
     assert Counter(5, True).at_least(3) == Counter(5, True)
     assert Counter(5, True).at_least(8).next == 9 and Counter().next == 1
+
+
+def test_an_import_goes_on_where_it_stopped(spark, rows, tmp_path):
+    root = str(tmp_path / "import")
+    source = spark.range(95).selectExpr("95 - id AS key", "'x' AS label")
+    seen = []
+
+    def work(part, stop=None):
+        if stop is not None and len(seen) == stop:
+            raise InterruptedError
+        seen.append(sorted(r.key for r in part.collect()))
+        return part.withColumn("label", F.concat("label", F.lit("!")))
+
+    with pytest.raises(InterruptedError):
+        run_import(spark, source, ["key"], lambda part: work(part, 3), root, 20, unique=True)
+    assert finished_steps(spark, root) == {0, 1, 2}
+    done = run_import(spark, source, ["key"], work, root, 20, unique=True)
+    # Every row once, in order, and the first steps not again.
+    assert [k for step in seen for k in step] == list(range(1, 96)) and len(seen) == 5
+    assert rows(done) == rows(source.selectExpr("key", "'x!' AS label"))
+    assert rows(run_import(spark, source, ["key"], work, root)) == rows(done) and len(seen) == 5
+    empty = run_import(spark, source.limit(0), ["key"], lambda part: part, str(tmp_path / "none"))
+    assert empty.count() == 0 and empty.columns == ["key", "label"]
+
+
+def test_records_that_do_not_fit(spark, rows, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('id,name,more\n1,a,x\nb,c,x\n3,"d, e",x\n4\n5,f,x,y\n,g,\n')
+    good, rejects = read_with_rejects(spark, str(path), "id int, name string")
+    assert rows(good) == sorted([(1, "a"), (3, "d, e"), (None, "g")], key=repr)
+    assert {r.record for r in rejects.collect()} == {"b,c,x", "5,f,x,y", "4"}
+    assert all(r.file.endswith("in.csv") for r in rejects.collect())
+    with pytest.raises(ValueError, match="no column city"):
+        read_with_rejects(spark, str(path), "id int, city string")
+
+
+def test_typed_lookups(spark, frame, rows, monkeypatch):
+    dimension = frame("kind string, code string, id long", ("a", "x", 1), ("a", "y", 2),
+                      ("a", "y", 0), ("b", "x", 3), ("b", None, 4), ("c", "z", 5))
+    data = frame("k long, one string, other string", (1, "x", "x"), (2, "y", None), (3, "q", "y"))
+    columns = {"p": ("a", "one"), "q": ("b", "one"), "r": ("a", "other"), "s": ("none", "one")}
+    wanted = [(1, 1, 3, 1, None), (2, 0, None, None, None), (3, None, None, 0, None)]
+    for most in (1_000, 1, 0):
+        monkeypatch.setattr(joins, "PACKED_CODES", most)
+        found = joins.lookup_types(data, dimension, "kind", "code", "id", columns)
+        assert found.columns == ["k", "one", "other", "p", "q", "r", "s"]
+        assert rows(found, "k", *columns) == sorted(wanted, key=repr)
+    assert rows(joins.unresolved_codes(found, columns)) == [
+        ("a", "q", 1), ("b", "q", 1), ("b", "y", 1), ("none", "q", 1), ("none", "x", 1),
+        ("none", "y", 1)]
