@@ -190,7 +190,8 @@ def _family_links(members: DataFrame, threshold: float) -> DataFrame:
     """Verified links of (unit, i, j, side, node, signature, shingles)."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("node", kind="stable")
+        # A text that is both of a single and of a repeated id comes twice.
+        group = group.sort_values("node", kind="stable").drop_duplicates("node")
         sets = [np.frombuffer(found, np.uint64) for found in group["shingles"]]
         sketches = np.frombuffer(b"".join(group["signature"]), np.uint64).reshape(len(group), -1)
         found = links_within(group["node"].to_numpy(), group["side"].to_numpy(), sketches, sets,
@@ -224,7 +225,15 @@ def _units(members: DataFrame, banded: DataFrame) -> DataFrame:
     return dealt(whole).unionByName(dealt(split))
 
 
-def _classes(docs: DataFrame, rows: DataFrame, id: str, text: str, size: int,
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Ids of more than one row (doc), with the least and greatest print of their texts."""
+    return materialize(
+        rows.filter("doc IS NOT NULL").groupBy("doc").agg(
+            F.count("*").alias("n"), F.min("print").alias("one"), F.max("print").alias("other"))
+        .filter("n > 1").drop("n"), "repeated")
+
+
+def _classes(docs: DataFrame, rows: DataFrame, repeated: DataFrame, id: str, text: str, size: int,
              threshold: float) -> tuple[DataFrame, DataFrame]:
     """Classes of equal sets (node, print, low: its smallest id), and the links that join them.
 
@@ -244,12 +253,19 @@ def _classes(docs: DataFrame, rows: DataFrame, id: str, text: str, size: int,
         families.select("node", F.col("low").alias("family")), "node"), "members")
     dealt = _units(members, banded.select("node", "key")).join(
         members.select("node", "print", "signature"), "node")
-    # Of a class one text goes on. An id may have others, and the same one again.
+    # Of a class one text goes on.
     texts = (docs.select(F.col(id).alias("doc"), F.col(text).cast("string").alias("text"))
              .join(members.select(F.col("low").alias("doc")).distinct(), "doc", "left_semi"))
-    sets = _full_sets(texts.select("text"), size).groupBy("print").agg(
-        F.first("shingles").alias("shingles"))
-    links = _family_links(dealt.join(sets, "print"), threshold)
+    if repeated.isEmpty():
+        sets = _full_sets(texts.select("text"), size)
+    else:
+        # A repeated id has other texts, and the same one again, however often.
+        once = texts.join(repeated, "doc", "left_anti")
+        more = texts.join(repeated, "doc", "left_semi")
+        sets = _full_sets(once.select("text"), size).unionByName(
+            _full_sets(more.select("text"), size).groupBy("print").agg(
+                F.first("shingles").alias("shingles")))
+    links = _family_links(dealt.join(sets, "print").drop("print"), threshold)
     return classes.select("node", "print", "low"), links
 
 
@@ -271,11 +287,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     ``docs`` are not looked at.
     """
     rows = materialize(signatures(docs, id, text, size), "signatures")
-    classes, links = _classes(docs, rows, id, text, size, threshold)
+    repeated = _repeated(rows)
+    classes, links = _classes(docs, rows, repeated, id, text, size, threshold)
     # An id that repeats with another text ties the classes of its texts together.
     usable = rows.filter("doc IS NOT NULL AND print IS NOT NULL").select("doc", "print")
-    again = usable.groupBy("doc").agg(F.min("print").alias("one"), F.max("print").alias("other")) \
-        .filter("one <> other").select("doc")
+    again = repeated.filter("one <> other").select("doc")
     placed = (usable.join(again, "doc").distinct().join(classes, "print").select("doc", "node"))
     tied = placed.join(placed.groupBy("doc").agg(F.min("node").alias("a")), "doc").select(
         "a", F.col("node").alias("b"))
@@ -298,18 +314,18 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int
     empty text, all stay.
     """
     rows = materialize(signatures(docs, id, text, size), "signatures")
-    classes, links = _classes(docs, rows, id, text, size, threshold)
+    repeated = _repeated(rows)
+    classes, links = _classes(docs, rows, repeated, id, text, size, threshold)
     best = F.min(F.struct("low", "print"))
     stay = (_grouped(classes, links).groupBy("group").agg(best.alias("best"))
             .select(F.col("best.low").alias("doc"), F.col("best.print").alias("print")))
     stay = materialize(stay, "stay")
-    usable = rows.filter("doc IS NOT NULL").select("doc", "print")
-    counts = usable.groupBy("doc").agg(F.count("*").alias("n"), F.first("print").alias("print"))
+    again = repeated.select("doc")
     # Ids that occur once go by their ids alone, and no text is looked at again.
     gone = materialize(
-        counts.filter("n = 1 AND print IS NOT NULL").select("doc", "print")
-        .join(stay, ["doc", "print"], "left_anti").select("doc"), "gone")
-    again = materialize(counts.filter("n > 1").select("doc"), "again")
+        rows.filter("doc IS NOT NULL AND print IS NOT NULL").select("doc", "print")
+        .join(again, "doc", "left_anti").join(stay, ["doc", "print"], "left_anti").select("doc"),
+        "gone")
     key = docs[id]
 
     def without(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:

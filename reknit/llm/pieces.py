@@ -35,9 +35,9 @@ UNKNOWN_PENALTY = 10.0
 STRIDE = 64
 LOWEST = float("-inf")
 # Stretches up to this length are remembered: so many, and as many that were seen before them.
-REMEMBERED_LENGTH, REMEMBERED = 48, 150_000
-# Texts that leave a task together.
-TOGETHER = 500
+REMEMBERED_LENGTH, REMEMBERED = 48, 60_000
+# Texts whose streams advance together.
+TOGETHER = 200
 
 
 @dataclass
