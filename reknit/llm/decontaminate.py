@@ -24,7 +24,7 @@ from reknit.llm.fmindex import FMIndex
 WINDOW = 13
 BLOCK_BYTES = 8_000_000
 # Words of the documents that share an index.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 800_000
 
 # Fixed value: what is no word. Bytes of longer code points belong to words.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
