@@ -10,6 +10,7 @@ from reknit.plans import (
     enrich_zones, habitat_stations, merge_entities, migrate_users, reconcile_partner,
     seed_datasets, taxon_lists)
 from reknit.plans.migrate_users import Rights, Texts
+from reknit.operators.merge import apply_merges
 from reknit.sources.publish import publish, published_versions, read_published
 from reknit.sources.requests import merge_requests
 from reknit.sources.tables import read_diff_csv, read_import_batch, read_tables
@@ -45,7 +46,7 @@ def test_merge_people_covers_all_tables(spark, frame, rows):
     snapshot["gn_commons.t_places"] = frame(
         "id_role long, place_name string, place_geom binary", (1, "p", b"\x01"), (2, "p", b"\x01"),
         (2, "p", b"\x02"))
-    merged = merge_entities.apply_merges(snapshot, merge_entities.PEOPLE,
+    merged = apply_merges(snapshot, merge_entities.PEOPLE,
                                          merge_requests(spark, [(1, "2")]))
     assert rows(merged["utilisateurs.t_roles"]) == [(1, "a"), (3, "c")]
     assert rows(merged["utilisateurs.cor_roles"]) == [(7, 1), (8, 1), (8, 3)]
