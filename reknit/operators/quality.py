@@ -79,10 +79,14 @@ def diff_report(left: DataFrame, right: DataFrame, on: Sequence[str | tuple], co
                               for i, (a, _) in enumerate(pairs)])
     right = right.select("*", *[(F.col(b) if isinstance(b, str) else b).alias(f"__r{i}")
                                 for i, (_, b) in enumerate(pairs)])
-    for side, prefix in ((left, "__l"), (right, "__r")):
-        repeated = check_unique(side, [f"{prefix}{i}" for i in range(len(pairs))]).take(3)
-        if repeated:
-            raise ValueError(f"keys repeat: {', '.join(str(tuple(row)) for row in repeated)}")
+    # Both sides in one job.
+    found = [check_unique(side, keys).select(
+        *(F.col(key).cast("string").alias(f"key{i}") for i, key in enumerate(keys)), "n")
+        for side, keys in ((left, [f"__l{i}" for i in range(len(pairs))]),
+                           (right, [f"__r{i}" for i in range(len(pairs))]))]
+    repeated = found[0].union(found[1]).take(3)
+    if repeated:
+        raise ValueError(f"keys repeat: {', '.join(str(tuple(row)) for row in repeated)}")
     condition = ~F.col(f"left.{compare}").eqNullSafe(F.col(f"right.{compare}"))
     for i in range(len(pairs)):
         condition = condition & (F.col(f"left.__l{i}") == F.col(f"right.__r{i}"))

@@ -55,14 +55,22 @@ def require_resolved(rows: DataFrame, snapshot: Snapshot, references: Sequence[R
                      table: str) -> None:
     """Raise where a name that is given is borne by no row of the referenced table."""
     resolved = resolve(rows, snapshot, references)
+    lost = {}
     for reference in references:
         given = F.lit(True)
         for named, _ in reference.on:
             named = F.col(named) if isinstance(named, str) else named
             given = given & named.isNotNull()
-        lost = resolved.filter(given & F.col(reference.out).isNull()).take(3)
-        if lost:
-            raise ValueError(f"{table}: no {reference.out} for " + "; ".join(map(str, lost)))
+        lost[reference.out] = given & F.col(reference.out).isNull()
+    if not lost:
+        return
+    # All references are counted in one pass; rows are looked up only where some are lost.
+    counts = resolved.agg(*(F.count_if(condition).alias(out)
+                            for out, condition in lost.items())).first()
+    for out, condition in lost.items():
+        if counts[out]:
+            raise ValueError(f"{table}: no {out} for " + "; ".join(
+                map(str, resolved.filter(condition).take(3))))
 
 
 def seed_metadata(snapshot: Snapshot, seeds: Sequence[Seed], strict: bool = False) -> Snapshot:
