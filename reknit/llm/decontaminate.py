@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reknit.llm.fmindex import FMIndex
+from reknit.llm.memory import give_back
 
 WINDOW = 13
 BLOCK_BYTES = 8_000_000
@@ -150,6 +151,7 @@ def _scan(rows: DataFrame, phrases: Phrases) -> DataFrame:
                     ("words", pa.int64()), ("starts", pa.list_(pa.int32())),
                     ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))]))],
                 names=names)
+        give_back()
 
     return rows.mapInArrow(run, rows.schema)
 

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from reknit.llm.components import components
+from reknit.llm.memory import give_back
 from reknit.llm.shingles import (
     WordHashes, minima, mixed, permutations, shingle_set, words_of)
 from reknit.session import broadcast_if_small, materialize, measure
@@ -45,7 +46,7 @@ CHANCE = 1 / 2**BITS
 
 # A task takes at most so many members and shingles of a side; larger groups are dealt in blocks.
 BLOCK_MEMBERS = 2_000
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
 # A family of up to so many blocks is dealt in pairs of them, a larger one bucket by bucket.
 GRID = 16
 
@@ -100,6 +101,7 @@ def signatures(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(prints, pa.binary()),
                  pa.array(packs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc", "n_shingles", "print", "signature", "keys"])
+        give_back()
 
     rows = docs.select(F.col(id).alias("doc"), F.col(text).cast("string"))
     kind = rows.schema["doc"].dataType.simpleString()
@@ -123,6 +125,7 @@ def _full_sets(texts: DataFrame, size: int) -> DataFrame:
                 [pa.array([_print(found) for found in sets], pa.binary()),
                  pa.array([found.tobytes() for found in sets], pa.binary())],
                 names=["print", "shingles"])
+        give_back()
 
     return texts.mapInArrow(run, "print binary, shingles binary").filter("print IS NOT NULL")
 
@@ -196,6 +199,8 @@ def _family_links(members: DataFrame, threshold: float) -> DataFrame:
         sketches = np.frombuffer(b"".join(group["signature"]), np.uint64).reshape(len(group), -1)
         found = links_within(group["node"].to_numpy(), group["side"].to_numpy(), sketches, sets,
                              threshold)
+        del sets, sketches
+        give_back()
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return members.groupBy("unit", "i", "j").applyInPandas(run, "a long, b long")

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reknit.llm.memory import give_back
+
 SPACE = "▁"
 # A single character without a piece costs so much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
@@ -347,6 +349,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str
         for batch in batches:
             for start in range(0, len(batch), TOGETHER):
                 yield coded(batch.slice(start, TOGETHER), shared.value)
+        give_back()
 
     row = rows.schema["row"].dataType.simpleString()
     checked = [] if check is None else [F.col("same").alias(check)]

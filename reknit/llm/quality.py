@@ -24,6 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reknit.llm.memory import give_back
+
 # Labelled and unlabelled documents that the fit takes (in expectation, by a hash of the id).
 SAMPLE, POOL = 20_000, 10_000
 ROUNDS = 3
@@ -258,6 +260,7 @@ def keep_good(docs: DataFrame, model: Classifier | None, text: str = "text", lan
         for batch in batches:
             keep = _scored(batch, model)[-1]
             yield batch.select(["row"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     rows = docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
                        *_views(docs, text, lang, source, chars))
