@@ -47,6 +47,8 @@ CHANCE = 1 / 2**BITS
 # A task takes at most so many members and shingles of a side; larger groups are dealt in blocks.
 BLOCK_MEMBERS = 2_000
 BLOCK_SHINGLES = 1_000_000
+# A task gives memory back after groups of so many members.
+LARGE_MEMBERS = 500
 # A family of up to so many blocks is dealt in pairs of them, a larger one bucket by bucket.
 GRID = 16
 
@@ -199,8 +201,10 @@ def _family_links(members: DataFrame, threshold: float) -> DataFrame:
         sketches = np.frombuffer(b"".join(group["signature"]), np.uint64).reshape(len(group), -1)
         found = links_within(group["node"].to_numpy(), group["side"].to_numpy(), sketches, sets,
                              threshold)
-        del sets, sketches
-        give_back()
+        if len(group) >= LARGE_MEMBERS:
+            # Not for every one of many small families.
+            del sets, sketches
+            give_back()
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return members.groupBy("unit", "i", "j").applyInPandas(run, "a long, b long")
