@@ -6,13 +6,15 @@ shortest phrase, since no phrase can lie there. The FM-index of the shard then a
 phrases at once by backward search through wavelet ranks, occurrences are located from sampled
 suffix positions, and the words they cover are merged into removal spans. No text is shuffled.
 
-The test items come in blocks of bounded size (``BLOCK_BYTES``), one pass over the texts each.
+The test items come in blocks of bounded size (``BLOCK_BYTES``), one pass over the texts each. The
+last pass also makes the result, so that one block needs one worker a task and each text goes
+to it once.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +59,11 @@ class Phrases:
                                 [sorted(owners[phrase]) for phrase in phrases]))
         self.shortest = self.groups[0][0] if self.groups else 0
 
+    def coded(self, text: str | None) -> np.ndarray:
+        """The codes of a text's words, 0 for those that no phrase holds."""
+        words, get = words_of(text), self.codes.get
+        return np.fromiter((get(word, 0) for word in words), np.int32, len(words))
+
 
 def _stretches(codes: np.ndarray, shortest: int) -> np.ndarray:
     """Places to index: stretches of known words that a phrase fits into, each with its end."""
@@ -71,16 +78,14 @@ def _stretches(codes: np.ndarray, shortest: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(marks[:-1]) > 0)
 
 
-def shard_hits(texts: list[list[bytes]], phrases: Phrases) -> list[tuple[list, list, list]]:
-    """Per text of a shard: starts and ends of its merged spans in words, and the items found."""
-    get = phrases.codes.get
+def shard_hits(texts: list[np.ndarray], phrases: Phrases) -> list[tuple[list, list, list]]:
+    """Per coded text of a shard: starts and ends of its merged spans in words, the items found."""
     lengths = np.array([len(words) for words in texts], np.int64)
     # Each text is followed by a separator.
     begins = np.concatenate([[0], np.cumsum(lengths + 1)])
     codes = np.zeros(int(begins[-1]), np.int64)
     for begin, words in zip(begins, texts):
-        codes[begin:begin + len(words)] = np.fromiter((get(w, 0) for w in words), np.int64,
-                                                      len(words))
+        codes[begin:begin + len(words)] = words
     kept = _stretches(codes, phrases.shortest)
     covered = np.zeros(len(codes) + 1, np.int64)
     items: list[set[str]] = [set() for _ in texts]
@@ -122,43 +127,53 @@ def merged(starts: list[int], ends: list[int]) -> tuple[list[int], list[int]]:
     return [start for start, _ in out], [end for _, end in out]
 
 
-def _scan(rows: DataFrame, phrases: Phrases) -> DataFrame:
-    """Add the hits of one block of items to (row, text, hits)."""
-    names = rows.columns
+# What is known of a row after some blocks: its number of words, its spans and its items.
+HITS = pa.struct([("words", pa.int64()), ("starts", pa.list_(pa.int32())),
+                  ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+
+# Makes a batch of results from one of (row, text, hits) and its new hits.
+Finish = Callable[[pa.RecordBatch, list[dict]], pa.RecordBatch]
+
+
+def _with_hits(rows: pa.RecordBatch, hits: list[dict]) -> pa.RecordBatch:
+    return rows.set_column(2, "hits", pa.array(hits, HITS))
+
+
+def _scan(rows: DataFrame, phrases: Phrases, finish: Finish, schema) -> DataFrame:
+    """What ``finish`` makes of (row, text, hits) with the hits of one block of items added."""
 
-    def shard(texts: list[list[bytes]], before: list[dict]) -> list[dict]:
+    def shard(rows: pa.RecordBatch, texts: list[np.ndarray]) -> pa.RecordBatch:
         out = []
-        for words, had, (starts, ends, items) in zip(texts, before, shard_hits(texts, phrases)):
+        for words, had, (starts, ends, items) in zip(texts, rows.column(2).to_pylist(),
+                                                     shard_hits(texts, phrases)):
             starts, ends = merged(had["starts"] + starts, had["ends"] + ends)
             out.append({"words": len(words), "starts": starts, "ends": ends,
                         "items": sorted({*had["items"], *items})})
-        return out
+        return finish(rows, out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            before, hits, texts = batch.column(2).to_pylist(), [], []
-            size = 0
+            texts, size, done = [], 0, 0
             for cell in batch.column(1):
-                words = words_of(cell.as_py())
+                words = phrases.coded(cell.as_py())
                 if texts and size + len(words) > SHARD_WORDS:
-                    hits.extend(shard(texts, before[len(hits):]))
+                    yield shard(batch.slice(done, len(texts)), texts)
+                    done += len(texts)
                     texts, size = [], 0
                 texts.append(words)
                 size += len(words)
-            hits.extend(shard(texts, before[len(hits):]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(hits, pa.struct([
-                    ("words", pa.int64()), ("starts", pa.list_(pa.int32())),
-                    ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))]))],
-                names=names)
+            yield shard(batch.slice(done), texts)
         give_back()
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(run, schema)
 
 
-def _hits(docs: DataFrame, row: Column, benchmark: DataFrame, text: str, item: str,
-          item_text: str, window: int) -> DataFrame:
-    """(row, text, hits) over all blocks of test items."""
+def _passes(docs: DataFrame, row: Column, benchmark: DataFrame, text: str, item: str,
+            item_text: str, window: int, finish: Finish, schema: str) -> DataFrame:
+    """What ``finish`` makes of (row, text, hits) with the hits of all blocks of test items.
+
+    ``schema`` is that of its columns beside ``row``.
+    """
     none = F.struct(F.lit(0).cast("long").alias("words"), *(
         F.array().cast(kind).alias(name) for name, kind in (
             ("starts", "array<int>"), ("ends", "array<int>"), ("items", "array<string>"))))
@@ -168,10 +183,13 @@ def _hits(docs: DataFrame, row: Column, benchmark: DataFrame, text: str, item: s
                              F.col(item_text).cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = size // BLOCK_BYTES + 1
+    kind = rows.schema["row"].dataType.simpleString()
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
-        rows = _scan(rows, Phrases([(r["item"], r["text"]) for r in part], window))
-    return rows
+        phrases = Phrases([(r["item"], r["text"]) for r in part], window)
+        if block < blocks - 1:
+            rows = _scan(rows, phrases, _with_hits, rows.schema)
+    return _scan(rows, phrases, finish, f"row {kind}, {schema}")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text",
@@ -185,7 +203,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", tex
     have no windows, and those without id make hits but are not counted. Items that repeat
     count once, rows that repeat each give a row.
     """
-    hits = _hits(docs, F.col(id), benchmark, text, item, item_text, window)
+    def finish(rows: pa.RecordBatch, hits: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([rows.column(0), pa.array(hits, HITS)],
+                                          names=["row", "hits"])
+
+    hits = _passes(docs, F.col(id), benchmark, text, item, item_text, window, finish,
+                   "hits struct<words: bigint, starts: array<int>, ends: array<int>, "
+                   "items: array<string>>")
     items = F.array_sort("hits.items")
     n_hit = F.aggregate(F.zip_with("hits.starts", "hits.ends", lambda a, b: b - a),
                         F.lit(0).cast("long"), lambda total, width: total + width)
@@ -214,24 +238,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text",
 
     All columns stay as they are but for ``text``. Cases as for ``contamination``.
     """
-    hits = _hits(docs, F.struct(*(F.col(f"`{name}`") for name in docs.columns)), benchmark, text,
-                 item, item_text, window)
+    others = [F.col(f"`{name}`") for name in docs.columns if name != text]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept, texts = [], []
-            for k, (value, hit) in enumerate(zip(batch.column(1), batch.column(2).to_pylist())):
-                n_hit = sum(hit["ends"]) - sum(hit["starts"])
-                if n_hit and share * n_hit >= hit["words"]:
-                    continue
-                kept.append(k)
-                value = value.as_py()
-                texts.append(cut(value, hit["starts"], hit["ends"]) if n_hit else value)
-            kept = batch.take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [kept.column(0), pa.array(texts, pa.string())], names=["row", "text"])
-
-    row = next(field for field in hits.schema if field.name == "row")
-    clean = hits.mapInArrow(run, f"row {row.dataType.simpleString()}, text string")
+    def finish(rows: pa.RecordBatch, hits: list[dict]) -> pa.RecordBatch:
+        kept, texts = [], []
+        for k, (value, hit) in enumerate(zip(rows.column(1), hits)):
+            n_hit = sum(hit["ends"]) - sum(hit["starts"])
+            if n_hit and share * n_hit >= hit["words"]:
+                continue
+            kept.append(k)
+            value = value.as_py()
+            texts.append(cut(value, hit["starts"], hit["ends"]) if n_hit else value)
+        return pa.RecordBatch.from_arrays(
+            [rows.column(0).take(pa.array(kept, pa.int64())), pa.array(texts, pa.string())],
+            names=["row", "text"])
+
+    # The text goes beside the other columns, not among them as well.
+    clean = _passes(docs, F.struct(*others) if others else F.lit(True), benchmark, text, item,
+                    item_text, window, finish, "text string")
     return clean.select(*(F.col("text").alias(name) if name == text
                           else F.col(f"row.`{name}`").alias(name) for name in docs.columns))

@@ -107,3 +107,19 @@ def test_empty_tables(spark):
     assert [tuple(r)[:3] for r in decontaminate.contamination(docs, tests).collect()] == [(1, 2, 0)]
     assert decontaminate.contamination(docs.limit(0), tests).count() == 0
     assert decontaminate.decontaminate(docs, tests).collect() == docs.collect()
+
+
+def test_one_worker_a_task_and_each_text_once(spark, monkeypatch):
+    """Two operators in a row kept two workers a task alive, with each text in two columns."""
+    docs = spark.createDataFrame([(1, "a b", 3), (2, "c d e", 5)],
+                                 "doc_id long, text string, n_chars int")
+    tests = spark.createDataFrame([(1, "d e"), (2, "x")], "item_id long, text string")
+    for block, passes in ((8_000_000, 1), (2, 3)):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+        clean = decontaminate.decontaminate(docs, tests)
+        plan = re.sub(r"#\d+L?", "", clean._jdf.queryExecution().optimizedPlan().toString())
+        assert plan.count("MapInArrow") == passes
+        assert "n_chars, n_chars" in plan and "text, text" not in plan
+        assert sorted(map(tuple, clean.collect())) == [(1, "a b", 3)]
+    assert [tuple(r) for r in decontaminate.decontaminate(docs.select("text"), tests).collect()] \
+        == [("a b",)]
