@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from reknit.functions.documents import json_set
 from reknit.functions.lists import explode_list, explode_together, split_list
 from reknit.functions.text import person_key, squash
-from reknit.operators.joins import keep_absent, own_shuffle, update_from
-from reknit.session import broadcast_if_small, materialize, measure
+from reknit.operators.joins import keep_absent, measured, own_shuffle, update_from
+from reknit.session import BROADCAST_BYTES, broadcast_if_small, materialize, measure
+
+# A task makes about so many links from codes; the bytes it reads say nothing of their number.
+LINKS = 2_000_000
+# Of one code, so many rows of either side meet at once where the dimension is not broadcast.
+SIDE = 1_000
 
 
 def codes_to_links(df: DataFrame, id: str, codes: str, dimension: DataFrame, code: str, value: str,
@@ -19,7 +24,7 @@ def codes_to_links(df: DataFrame, id: str, codes: str, dimension: DataFrame, cod
     """Distinct (id, value) links from a comma list of codes.
 
     A code is looked up as it is and, given a mapping, as its standard code as well. Codes of
-    every type match unless a type is named.
+    every type match unless a type is named. Rows are dealt by the number of links they make.
     """
     if type_column is not None:
         dimension = dimension.filter(F.col(type_column) == type_name)
@@ -28,8 +33,46 @@ def codes_to_links(df: DataFrame, id: str, codes: str, dimension: DataFrame, cod
         # Both are small beside the lists: the dimension is put under the other codes as well.
         other = mapping.select(F.col(standard).alias(code), F.col(source).alias("__source"))
         known = known.union(known.join(other, code).select("__source", value))
+    known = materialize(known.distinct(), "known")
     listed = explode_list(df.select(id, codes), codes, code).select(id, code)
-    return listed.join(own_shuffle(known.distinct(), [code]), code).select(id, value).distinct()
+    # Codes that nothing bears count as well, as they have to be read.
+    sizes = materialize(
+        listed.groupBy(code).agg(F.count("*").alias("__listed")).join(own_shuffle(
+            known.groupBy(code).agg(F.count("*").alias("__known")), [code]), code, "left")
+        .fillna(1, ["__known"]), "sizes")
+    links = sizes.agg(F.sum(F.col("__listed") * F.col("__known"))).first()[0] or 0
+    tasks, size = links // LINKS + 1, measure(known)
+    if size <= BROADCAST_BYTES:
+        # All codes of an id are in one task, where its links become distinct without a shuffle.
+        listed = listed.distinct().repartition(tasks, id)
+        found = listed.join(broadcast_if_small(known, size), code)
+    else:
+        found = _by_cells(listed.distinct(), known, id, code, value, sizes, tasks)
+    return found.select(id, value).distinct()
+
+
+def _by_cells(listed: DataFrame, known: DataFrame, id: str, code: str, value: str,
+              sizes: DataFrame, tasks: int) -> DataFrame:
+    """Join (id, code) and (code, value) in cells of a code, of about SIDE rows by SIDE rows.
+
+    A code of many rows has its ids in blocks and its values in blocks, and every pair of blocks
+    is a cell. So neither a code with many ids nor one with many values is left to one task.
+    """
+    blocks = sizes.select(code, *(F.ceil(F.col(f"__{side}") / SIDE).alias(f"__{side}")
+                                  for side in ("listed", "known")))
+    blocks = measured(blocks.filter("__listed > 1 OR __known > 1"), [code])
+
+    def dealt(rows: DataFrame, column: str, own: str, other: str) -> DataFrame:
+        rows = rows.join(blocks, code, "left").fillna(1, ["__listed", "__known"])
+        return (rows.withColumn("__own", F.pmod(F.xxhash64(column), F.col(f"__{own}")))
+                .withColumn("__other", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                            F.col(f"__{other}") - 1)))
+                .select(code, column, F.col("__own").alias(f"__{own}"),
+                        F.col("__other").alias(f"__{other}"))
+                .repartition(tasks, code, "__listed", "__known"))
+
+    return dealt(listed, id, "listed", "known").join(
+        dealt(known, value, "known", "listed"), [code, "__listed", "__known"])
 
 
 def links_from_id_list(df: DataFrame, ids: str, key: str, targets: DataFrame, target_key: str,

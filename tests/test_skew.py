@@ -1,9 +1,11 @@
 """A key that a third of all rows share is split by AQE in every join that may meet it."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from reknit.operators import joins
+from reknit.operators import joins, links
 from reknit.operators import merge as m
 from reknit.operators.hierarchy import link_parents
 
@@ -77,3 +79,32 @@ def test_merge(big, monkeypatch):
     assert run(m.merge_fk(big, "k", keymap)) == (300_000, True)
     linked = big.withColumn("c", F.lit("same"))
     assert run(m.merge_links(linked, "k", ["c"], keymap)) == (300_000 - 1_328, True)
+
+
+@pytest.mark.parametrize("broadcast", [0, 1_000_000])
+def test_few_codes_of_many_values_are_dealt_by_links(spark, rows, monkeypatch, broadcast):
+    """Two codes went to one task, which made all links."""
+    monkeypatch.setattr(links, "LINKS", 1_000)
+    monkeypatch.setattr(links, "SIDE", 16)
+    monkeypatch.setattr(links, "BROADCAST_BYTES", broadcast)
+    lists = spark.range(300).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'a, b, a' WHEN id % 3 = 1 THEN 'b, none' ELSE 'c' END AS codes")
+    lists = lists.unionByName(lists.filter("id < 9")).unionByName(
+        spark.range(300, 2_300).selectExpr("id", "'none' AS codes"))
+    values = {"a": range(50), "b": range(30, 70), "c": [100], "d": range(9)}
+    dimension = spark.createDataFrame(
+        [(code, v) for code, own in values.items() for v in own] * 2, "code string, value long")
+    found = links.codes_to_links(lists, "id", "codes", dimension, "code", "value")
+    assert rows(found) == sorted(
+        ((k, v) for k in range(300) for v in sorted(
+            {v for code in ("ab", "b", "c")[k % 3] for v in values[code]})), key=repr)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # a twice in 103 lists, b in these and 103 others, c in 103, and what is read in vain.
+    made = 103 * 2 * 50 + (103 + 103) * 40 + 103 + 103 + 2_000
+    dealt = re.findall(r"hashpartitioning\(([^()]*), (\d+)\), REPARTITION_BY_NUM", plan)
+    assert {int(n) for _, n in dealt} == {made // 1_000 + 1}
+    keys = {re.sub(r"#\d+L?", "", names) for names, _ in dealt}
+    assert keys == ({"id"} if broadcast else {"code, __listed, __known"})
+    if broadcast:
+        # Nothing is shuffled to make the links distinct.
+        assert "hashpartitioning(id" not in plan.split("BroadcastHashJoin")[0]
