@@ -14,6 +14,7 @@ def components(edges: DataFrame) -> DataFrame:
     A large star hangs a node's larger neighbours on its smallest one, a small star the
     smaller ones; both are a minimum per node and a join with it, so that no neighbourhood is
     ever gathered, and the number of rounds grows with the logarithm of the longest path.
+    Links that a round repeats go once, at its end.
     Self loops and NULL ends are left out; an empty table gives an empty one.
     """
     # Always b > a: each edge hangs a larger node on a smaller one.
@@ -22,10 +23,9 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(), "links")
     before = None
     while True:
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lows = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-        large = (both.filter("b > a").join(lows, "a")
-                 .select(F.col("low").alias("a"), "b").distinct())
+        # Of a node's neighbours only smaller ones can be below it, so each link is looked at once.
+        lows = links.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("low"))
+        large = links.join(lows, "a", "left").select(F.coalesce("low", "a").alias("a"), "b")
         lows = large.groupBy("b").agg(F.min("a").alias("low"))
         small = large.join(lows, "b")
         links = materialize(

@@ -37,6 +37,8 @@ LOST, EVEN = 0.002, 0.35
 RIDGE, CALIBRATION_RIDGE = 10.0, 1.0
 # Fewer labelled documents of a class than this give no classifier.
 LEAST = 10
+# Rows that are widened and standardised at a time, as the fit runs in the driver's memory.
+PART = 2_000
 
 META_CELLS = 64
 META = META_CELLS + 12
@@ -76,7 +78,13 @@ class Logistic:
 
     def odds(self, rows: np.ndarray) -> np.ndarray:
         """Log odds of a label of 1."""
-        return ((rows - self.mean) / self.scale) @ self.weights[1:] + self.weights[0]
+        return np.concatenate([
+            ((rows[part] - self.mean) / self.scale) @ self.weights[1:] + self.weights[0]
+            for part in _parts(len(rows))])
+
+
+def _parts(n: int) -> list[slice]:
+    return [slice(start, start + PART) for start in range(0, max(n, 1), PART)]
 
 
 def sigmoid(odds: np.ndarray) -> np.ndarray:
@@ -84,23 +92,35 @@ def sigmoid(odds: np.ndarray) -> np.ndarray:
 
 
 def fit_logistic(rows: np.ndarray, labels: np.ndarray, ridge: float = RIDGE) -> Logistic:
-    """By Newton steps, halved while they don't lower the loss."""
-    mean, scale = rows.mean(axis=0), rows.std(axis=0)
+    """By Newton steps, halved while they don't lower the loss.
+
+    Sums go over parts of the rows, so that the standardised sample is never whole in memory.
+    """
+    parts = _parts(len(rows))
+    mean = rows.mean(axis=0, dtype=float)
+    scale = np.sqrt(sum(((rows[part] - mean) ** 2).sum(axis=0) for part in parts) / len(rows))
     scale[scale < 1e-9] = 1
-    design = np.hstack([np.ones((len(rows), 1)), (rows - mean) / scale])
-    penalty = np.full(design.shape[1], ridge)
+    penalty = np.full(rows.shape[1] + 1, ridge)
     penalty[0] = 1e-6
-    weights = np.zeros(design.shape[1])
+    weights = np.zeros(len(penalty))
+
+    def odds_of(w: np.ndarray) -> np.ndarray:
+        own = w[1:] / scale
+        return np.concatenate([rows[part].astype(float) @ own for part in parts]) + (
+            w[0] - mean @ own)
 
     def loss(w: np.ndarray) -> float:
-        odds = design @ w
+        odds = odds_of(w)
         return float(np.logaddexp(0, odds).sum() - labels @ odds + (penalty * w * w).sum() / 2)
 
     now = loss(weights)
     for _ in range(30):
-        p = sigmoid(design @ weights)
-        gradient = design.T @ (p - labels) + penalty * weights
-        curve = (design * (p * (1 - p))[:, None]).T @ design + np.diag(penalty)
+        p = sigmoid(odds_of(weights))
+        gradient, curve = penalty * weights, np.diag(penalty)
+        for part in parts:
+            design = np.hstack([np.ones((len(p[part]), 1)), (rows[part] - mean) / scale])
+            gradient = gradient + design.T @ (p[part] - labels[part])
+            curve = curve + (design * (p[part] * (1 - p[part]))[:, None]).T @ design
         step = np.linalg.solve(curve, gradient)
         size = 1.0
         while size > 1e-4 and loss(weights - size * step) > now:
@@ -208,16 +228,33 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", label: str = "qu
 
     kind = docs.select(id).dtypes[0][1]
     found = rows.mapInArrow(run, f"id {kind}, label int, texts binary, metas binary").toArrow()
-    ordered = found.take(pc.sort_indices(found, [("id", "ascending")]))
-    given = ordered["label"].to_pylist()
-    texts, metas = (np.frombuffer(b"".join(ordered[name].to_pylist()), np.float32)
-                    .reshape(-1, width).astype(float)
+    given = found["label"].cast(pa.float64()).to_numpy()
+    order = pc.sort_indices(found, [("id", "ascending")]).to_numpy()
+    # Labelled rows come first, so that they and the others are views.
+    order = order[np.argsort(np.isnan(given[order]), kind="stable")]
+    n = int((~np.isnan(given)).sum())
+    values = given[order[:n]]
+    texts, metas = (_unpacked(found[name], order, width)
                     for name, width in (("texts", WIDTH), ("metas", META)))
-    labelled = np.array([value is not None for value in given], bool)
-    values = np.array([value for value in given if value is not None], float)
-    if min((values == 0).sum(), (values == 1).sum()) < LEAST:
-        return None
-    return co_train(texts[labelled], metas[labelled], values, texts[~labelled], metas[~labelled])
+    del found
+    model = None
+    if min((values == 0).sum(), (values == 1).sum()) >= LEAST:
+        model = co_train(texts[:n], metas[:n], values, texts[n:], metas[n:])
+    del texts, metas
+    give_back()
+    return model
+
+
+def _unpacked(cells: pa.ChunkedArray, order: np.ndarray, width: int) -> np.ndarray:
+    """Rows of floats from their bytes, in the order given, a chunk at a time."""
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    rows, done = np.empty((len(order), width), np.float32), 0
+    for chunk in cells.chunks:
+        packed = np.frombuffer(b"".join(chunk.to_pylist()), np.float32)
+        rows[place[done:done + len(chunk)]] = packed.reshape(-1, width)
+        done += len(chunk)
+    return rows
 
 
 def _scored(batch: pa.RecordBatch, model: Classifier | None) -> tuple[np.ndarray, ...]:

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from reknit.llm import components as graph
 from reknit.llm import neardup
 from reknit.llm.components import components
 from reknit.llm.shingles import WordHashes, shingle_set, words_of
@@ -35,6 +36,26 @@ def test_components(spark, edges):
     assert found.count() == len(wanted)
 
 
+def test_exchanges_of_a_round(spark, monkeypatch):
+    """Each is a stage of as many tasks as there are partitions, of which the driver keeps count."""
+    rounds, plain = [], graph.materialize
+
+    def kept(df, name):
+        rounds.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hash"))
+        return plain(df, name)
+
+    monkeypatch.setattr(graph, "materialize", kept)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = spark.createDataFrame([(k, k + 1) for k in range(20)], "a long, b long")
+        assert {row.low for row in components(edges).collect()} == {0}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # As planned, before Spark finds that both sides of the second join have two in common.
+    assert len(rounds) > 2 and max(rounds[1:]) <= 7
+
+
 def test_words_and_short_texts():
     assert words_of("Ab C \x1c\tD\x0bÉ") == ["ab c".encode(), b"\x1c", b"d", "É".encode()]
     hashes = WordHashes()

@@ -1,6 +1,9 @@
 """The co-trained classifier by accuracy on documents that it has not seen."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 
 from reknit.llm import quality
 
@@ -65,3 +68,45 @@ def test_odd_rows(spark):
     assert quality.keep_good(odd, None).count() == 5
     assert {row.score for row in quality.classify(odd, None).collect()} == {0.5}
     assert quality.classify(odd.limit(0), model).count() == 0
+
+
+def test_fit_in_parts_finds_the_least_loss(monkeypatch):
+    draw = np.random.default_rng(2)
+    rows = draw.normal(3, 5, (501, 6)).astype(np.float32)
+    rows[:, 2] = 1
+    labels = (rows[:, 0] + draw.normal(size=501) > 3).astype(float)
+    whole = quality.fit_logistic(rows, labels)
+    monkeypatch.setattr(quality, "PART", 50)
+    model = quality.fit_logistic(rows, labels)
+    assert np.allclose(model.weights, whole.weights, atol=1e-8)
+    assert np.allclose(model.odds(rows), whole.odds(rows), atol=1e-8)
+    design = np.hstack([np.ones((501, 1)), (rows.astype(float) - model.mean) / model.scale])
+    penalty = np.array([1e-6, *[quality.RIDGE] * 6])
+    slope = design.T @ (quality.sigmoid(design @ model.weights) - labels) + penalty * model.weights
+    assert np.abs(slope).max() < 0.05
+    assert np.allclose(model.scale[[0, 2]], [rows[:, 0].std(dtype=float), 1])
+
+
+def test_the_driver_holds_no_whole_matrix_of_a_full_sample():
+    draw = np.random.default_rng(3)
+    n, pool = quality.SAMPLE, quality.POOL
+    labels = (draw.random(n) < 0.5).astype(float)
+    shift = np.concatenate([labels, draw.integers(0, 2, pool)]).astype(np.float32)[:, None]
+    cells = {width: draw.normal(size=(n + pool, width)).astype(np.float32) + shift
+             for width in (quality.WIDTH, quality.META)}
+    texts, metas = cells[quality.WIDTH], cells[quality.META]
+    tracemalloc.start()
+    quality.co_train(texts[:n], metas[:n], labels, texts[n:], metas[n:])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The samples as they come, once more for the view that is fitted, and no copies in doubles.
+    assert peak < 2 * (texts.nbytes + metas.nbytes)
+
+
+def test_rows_are_unpacked_in_order():
+    rows = np.arange(35, dtype=np.float32).reshape(7, 5)
+    packed = [row.tobytes() for row in rows]
+    cells = pa.chunked_array([packed[:3], [], packed[3:]], pa.binary())
+    order = np.array([6, 2, 0, 1, 5, 3, 4])
+    assert (quality._unpacked(cells, order, 5) == rows[order]).all()
+    assert quality._unpacked(pa.chunked_array([], pa.binary()), order[:0], 5).shape == (0, 5)
